@@ -20,11 +20,6 @@ def first_filled(*texts: Column) -> Column:
     return F.coalesce(*[blank_to_null(text) for text in texts])
 
 
-def field(entry: Column, spellings: list[str]) -> Column:
-    """The first filled value of a string map under any of the spellings."""
-    return first_filled(*[F.try_element_at(entry, F.lit(key)) for key in spellings])
-
-
 def is_blank(text: Column) -> Column:
     return text.isNull() | (text == "")
 

@@ -16,8 +16,8 @@ _ISO = (
     r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?$"
 )
 _ISO_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"
-_MAIL_DATE = r"^(?:[A-Za-z]+,\s*)?(\d{1,2})\s+([A-Za-z]{3})[a-z]*\s+(\d{4})\s+(\d{1,2}:\d{2}(?::\d{2})?)"
-_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+_MAIL_DATE = r"^(?:[A-Za-z]+,\s*)?(\d{1,2})\s+([A-Za-z]{3})[a-z]*\s+(\d{4})\s+(\d{1,2}:\d{2}(?::\d{2})?).*$"
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
 def at(moment: datetime) -> Column:
@@ -38,18 +38,20 @@ def parse_iso(text: Column) -> Column:
     )
 
 
-def parse_any(text: Column) -> Column:
-    """ISO 8601 as in :func:`parse_iso`, else the mail form ``17 Mar 2026 12:00:00``."""
-    months = F.create_map(
-        *[F.lit(part) for i, name in enumerate(_MONTHS, 1) for part in (name, f"{i:02d}")]
-    )
-    month = F.try_element_at(months, F.lower(F.regexp_extract(text, _MAIL_DATE, 2)))
-    mail = F.concat(
-        F.regexp_extract(text, _MAIL_DATE, 3), F.lit("-"), month, F.lit("-"),
-        F.regexp_extract(text, _MAIL_DATE, 1), F.lit(" "),
-        F.regexp_extract(text, _MAIL_DATE, 4),
+def parse_mail_date(text: Column) -> Column:
+    """The mail form ``Tue, 17 Mar 2026 12:00:00 GMT``; weekday and zone are ignored."""
+    ordered = F.regexp_replace(text, _MAIL_DATE, "$3-$2-$1 $4")
+    name_at = F.position(F.lower(F.substring(ordered, 6, 3)), F.lit(_MONTHS))
+    month = F.when(name_at % 3 == 1, (name_at + 2) / 3).cast("int")
+    stamp = F.concat(
+        F.substring(ordered, 1, 5), month.cast("string"), F.substring(ordered, 9, 20)
     )
-    return F.coalesce(parse_iso(text), F.when(text.rlike(_MAIL_DATE), mail.try_cast("timestamp_ntz")))
+    return F.when(text.rlike(_MAIL_DATE), stamp.try_cast("timestamp_ntz"))
+
+
+def parse_any(text: Column) -> Column:
+    """ISO 8601 as in :func:`parse_iso`, else the mail form."""
+    return F.coalesce(parse_iso(text), parse_mail_date(text))
 
 
 def plus_days(moment: Column, days: Column) -> Column:

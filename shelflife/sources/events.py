@@ -2,49 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelflife.functions import fixed, text, times
 from shelflife.schemas import entry_seq
 from shelflife.sources.pages import entries
 
-# String maps, because the reader would merge fields that differ only by case.
-_PAGE = "activityEventEntities array<map<string,string>>"
+# The fields an event is read for, and how each may be spelled.
+_FIELDS = {
+    "activity": fixed.ACTIVITY_KEYS,
+    "time": fixed.TIME_KEYS,
+    "direct_id": fixed.DIRECT_ID_KEYS,
+    "other_id": fixed.OTHER_ID_KEYS,
+    "object_url": fixed.OBJECT_URL_KEYS,
+    "name": fixed.NAME_KEYS,
+    "type": fixed.TYPE_KEYS,
+    "workspace_id": fixed.WORKSPACE_ID_KEYS,
+    "workspace_name": fixed.WORKSPACE_NAME_KEYS,
+    "user": fixed.USER_KEYS,
+}
 
+# from_json tells spellings that differ by case apart, but column resolution does not.
+# So the parsed struct is renamed by position: activity_0, activity_1, time_0, ...
+_SPELLED = ",".join(f"`{key}`:string" for keys in _FIELDS.values() for key in keys)
+_NUMBERED = ",".join(
+    f"{field}_{i}:string" for field, keys in _FIELDS.items() for i in range(len(keys))
+)
 
-def event_maps(pages: DataFrame) -> DataFrame:
-    """One row per event: ``event_date`` (the requested day), ``seq`` and the field map ``e``."""
-    found = entries(pages, _PAGE, lambda body: body["activityEventEntities"])
+
+def event_entries(pages: DataFrame) -> DataFrame:
+    """One row per event: ``event_date`` (the requested day), ``seq`` and the fields ``e``."""
+    found = entries(
+        pages,
+        f"activityEventEntities array<struct<{_SPELLED}>>",
+        lambda body: body["activityEventEntities"].cast(f"array<struct<{_NUMBERED}>>"),
+    )
     return found.select("event_date", entry_seq().alias("seq"), "e")
 
 
+def _field(name: str) -> Column:
+    """The first filled spelling of a field, null when all are missing or blank."""
+    return text.first_filled(*[F.col(f"e.{name}_{i}") for i in range(len(_FIELDS[name]))])
+
+
 def parsed_events(pages: DataFrame, mail_dates: bool = False) -> DataFrame:
     """Named columns for every event, nothing filtered.
 
     Missing text is empty, except the raw time and the id, whose absence decides
     whether an event is kept.  ``mail_dates`` also accepts ``17 Mar 2026 12:00:00``.
     """
-    e = F.col("e")
     parse = times.parse_any if mail_dates else times.parse_iso
 
-    def filled(spellings: list[str]):
-        return F.coalesce(text.field(e, spellings), F.lit(""))
+    def filled(name: str) -> Column:
+        return F.coalesce(_field(name), F.lit(""))
 
-    url_id = text.last_guid(text.field(e, fixed.OBJECT_URL_KEYS))
-    direct = text.field(e, fixed.DIRECT_ID_KEYS)
-    raw_time = text.field(e, fixed.TIME_KEYS)
-    return event_maps(pages).select(
+    direct, raw_time = _field("direct_id"), _field("time")
+    url_id = text.last_guid(_field("object_url"))
+    return event_entries(pages).select(
         "event_date",
         "seq",
         raw_time.alias("raw_time"),
         parse(raw_time).alias("event_timestamp"),
-        filled(fixed.ACTIVITY_KEYS).alias("activity"),
+        filled("activity").alias("activity"),
         direct.isNotNull().alias("has_direct_id"),
-        F.coalesce(direct, text.field(e, fixed.OTHER_ID_KEYS), url_id).alias("artifact_id"),
-        filled(fixed.NAME_KEYS).alias("artifact_name"),
-        filled(fixed.TYPE_KEYS).alias("artifact_type"),
-        filled(fixed.WORKSPACE_ID_KEYS).alias("workspace_id"),
-        filled(fixed.WORKSPACE_NAME_KEYS).alias("workspace_name"),
-        filled(fixed.USER_KEYS).alias("user_id"),
+        F.coalesce(direct, _field("other_id"), url_id).alias("artifact_id"),
+        filled("name").alias("artifact_name"),
+        filled("type").alias("artifact_type"),
+        filled("workspace_id").alias("workspace_id"),
+        filled("workspace_name").alias("workspace_name"),
+        filled("user").alias("user_id"),
     )

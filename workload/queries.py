@@ -36,14 +36,21 @@ def _policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(policy_table(spark, sf_dir), scratch_folder(spark))
 
 
+def _stored_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The activity summary as the stored table the report reads."""
+    return stage(_summary(spark, sf_dir), scratch_folder(spark))
+
+
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = inputs.inventory_table(spark, sf_dir)
-    return readiness.assess(items, _summary(spark, sf_dir), _policy(spark, sf_dir), AS_OF)
+    stored = _stored_summary(spark, sf_dir), _policy(spark, sf_dir)
+    return readiness.assess(items, *stored, AS_OF)
 
 
 def readiness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = inputs.inventory_table(spark, sf_dir)
-    return readiness.readiness(items, _summary(spark, sf_dir), _policy(spark, sf_dir), AS_OF)
+    stored = _stored_summary(spark, sf_dir), _policy(spark, sf_dir)
+    return readiness.readiness(items, *stored, AS_OF)
 
 
 def policy_override(spark: SparkSession, sf_dir: str) -> DataFrame:
