@@ -65,8 +65,9 @@ def attach_dates(entries: DataFrame, lookup: DataFrame, names: DataFrame) -> Dat
     """Dates by id, else by (workspace, name).
 
     A hit by id wins even where both its dates are null, so the name is only tried
-    for ids the lookup does not hold.
+    for ids the lookup does not hold.  Counts the entries first.
     """
+    n_rows = entries.count()
     dates = lookup.select(
         F.col("id").alias("item_id"), F.col("created").alias("id_created"),
         F.col("modified").alias("id_modified"), F.col("source").alias("id_source"),
@@ -78,8 +79,10 @@ def attach_dates(entries: DataFrame, lookup: DataFrame, names: DataFrame) -> Dat
     keyed = entries.withColumns(
         {"ws_key": F.lower("workspace_id"), "name_key": F.lower("item_name")}
     )
-    by_id = salted_join(keyed, dates, ["item_id"], count_keys_in=entries)
-    by_name = salted_join(by_id, fallback, ["ws_key", "name_key"], count_keys_in=keyed)
+    by_id = salted_join(keyed, dates, ["item_id"], n_rows=n_rows, count_keys_in=entries)
+    by_name = salted_join(
+        by_id, fallback, ["ws_key", "name_key"], n_rows=n_rows, count_keys_in=keyed
+    )
     hit = F.col("id_source").isNotNull()
     source = (
         F.when(hit, F.col("id_source"))
@@ -107,17 +110,15 @@ def scored(
 
 
 def catalog_items(
-    workspaces: DataFrame,
-    items: DataFrame,
+    entries: DataFrame,
     lookup: DataFrame,
     names: DataFrame,
     as_of: datetime,
     policy: dict[str, int] | None = None,
     default_days: int = fixed.DEFAULT_RETENTION_DAYS,
 ) -> DataFrame:
-    """Scored inventory rows of all workspaces and their items."""
-    dated = attach_dates(catalog_entries(workspaces, items), lookup, names)
-    return scored(dated, as_of, policy, default_days)
+    """Scored inventory rows of the entries of :func:`catalog_entries`."""
+    return scored(attach_dates(entries, lookup, names), as_of, policy, default_days)
 
 
 def item_date_ranges(inventory: DataFrame) -> DataFrame:

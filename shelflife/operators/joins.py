@@ -35,13 +35,20 @@ def fits_broadcast(
     return size["n_rows"] <= max_rows and size["n_bytes"] <= max_bytes
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+def lookup_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    small: bool | None = None,
+) -> DataFrame:
     """Join to a listing that is usually small: broadcast if measured small, else salted.
 
     The measurement is an action on the lookup, so the lookup should be a listing or
     a stored table, not a long computation; use :func:`salted_join` for those.
+    ``small`` passes on the result of an earlier measurement.
     """
-    if fits_broadcast(lookup):
+    if fits_broadcast(lookup) if small is None else small:
         return rows.join(F.broadcast(lookup), keys, how)
     return salted_join(rows, lookup, keys, how)
 
@@ -71,6 +78,7 @@ def salted_join(
     how: str = "left",
     count_keys_in: DataFrame | None = None,
     key_counts: DataFrame | None = None,
+    n_rows: int | None = None,
     hot_rows: int = HOT_ROWS,
     splits: int = SPLITS,
 ) -> DataFrame:
@@ -79,7 +87,8 @@ def salted_join(
     Hot keys are counted in ``rows``, or in ``count_keys_in``, a cheaper frame with the
     same keys such as the stored table ``rows`` came from; ``key_counts`` passes counts
     that are known already.  Fewer than ``hot_rows`` rows cannot hold a hot key and are
-    joined as they are; that check is an action, a row count of the same frame.
+    joined as they are; unless ``n_rows`` gives their number or an upper bound of it,
+    that check is an action, a row count of the same frame.
 
     The salt of a row is its input partition, so a recomputed task sends it to the same
     place, exact copies of one row are split like any others, and no column has to be
@@ -87,7 +96,7 @@ def salted_join(
     """
     if key_counts is None:
         source = rows if count_keys_in is None else count_keys_in
-        if source.count() < hot_rows:
+        if (source.count() if n_rows is None else n_rows) < hot_rows:
             return rows.join(lookup, keys, how)
         key_counts = source.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("n_rows"))
     hot = hottest(key_counts, keys, hot_rows)

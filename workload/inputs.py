@@ -58,7 +58,7 @@ def _page_seq(line: Column, block: Column | None = None, file: Column | None = N
 
 
 def _shifted(column: str, days: int = 0) -> Column:
-    return F.col(column) + F.expr(f"INTERVAL '{SHIFT_DAYS + days}' DAY")
+    return F.date_add(F.to_date(column), SHIFT_DAYS + days).cast("timestamp_ntz")
 
 
 def _one(condition: Column | None, **fields: Column) -> Column:

@@ -31,26 +31,21 @@ def policy_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readiness.build_policy(inputs.inventory_table(spark, sf_dir), AS_OF)
 
 
-def _policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The policy as the stored table the report reads."""
-    return stage(policy_table(spark, sf_dir), scratch_folder(spark))
-
-
-def _stored_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The activity summary as the stored table the report reads."""
-    return stage(_summary(spark, sf_dir), scratch_folder(spark))
+def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Inventory, activity summary and policy as the stored tables the report reads."""
+    folder = scratch_folder(spark)
+    items = stage(inputs.inventory_table(spark, sf_dir), f"{folder}/inventory")
+    summary = stage(_summary(spark, sf_dir), f"{folder}/activity")
+    policy = stage(readiness.build_policy(items, AS_OF), f"{folder}/policy")
+    return items, summary, policy
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = inputs.inventory_table(spark, sf_dir)
-    stored = _stored_summary(spark, sf_dir), _policy(spark, sf_dir)
-    return readiness.assess(items, *stored, AS_OF)
+    return readiness.assess(*_tables(spark, sf_dir), AS_OF)
 
 
 def readiness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = inputs.inventory_table(spark, sf_dir)
-    stored = _stored_summary(spark, sf_dir), _policy(spark, sf_dir)
-    return readiness.readiness(items, *stored, AS_OF)
+    return readiness.readiness(*_tables(spark, sf_dir), AS_OF)
 
 
 def policy_override(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,27 +144,38 @@ def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Inventory.
 
 
-def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def date_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = scanner.scanner_dates(inputs.scanner_pages(spark, sf_dir))
     return inventory.build_date_lookup(dates, _ranges(spark, sf_dir))
 
 
-def _catalogued(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inventory.catalog_items(
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inventory.catalog_entries(
         listings.workspaces(inputs.workspace_pages(spark, sf_dir)),
         listings.items(inputs.item_pages(spark, sf_dir)),
-        _lookup(spark, sf_dir),
-        activity.activity_name_range(_ranges(spark, sf_dir)),
+    )
+
+
+def _catalogued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    dates = scanner.scanner_dates(inputs.scanner_pages(spark, sf_dir))
+    ranges = stage(_ranges(spark, sf_dir), f"{folder}/ranges")
+    return inventory.catalog_items(
+        stage(_entries(spark, sf_dir), f"{folder}/entries"),
+        inventory.build_date_lookup(dates, ranges),
+        activity.activity_name_range(ranges),
         AS_OF, POLICY, DEFAULT_DAYS,
     )
 
 
+def workspace_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = stage(_catalogued(spark, sf_dir), scratch_folder(spark))
+    return inventory.derive_workspace_dates(items, AS_OF).drop("seq")
+
+
 def _parents(spark: SparkSession, sf_dir: str, item_type: str, column: str) -> DataFrame:
     """Lakehouses or warehouses straight from the listings; dates play no part here."""
-    entries = inventory.catalog_entries(
-        listings.workspaces(inputs.workspace_pages(spark, sf_dir)),
-        listings.items(inputs.item_pages(spark, sf_dir)),
-    )
+    entries = stage(_entries(spark, sf_dir), scratch_folder(spark))
     return discovery.parents(entries, item_type, column)
 
 
@@ -299,12 +305,10 @@ QUERIES: dict[str, Query] = {
     # Inventory.
     "activity_range": _ranges,
     "activity_name_range": _over(_ranges, activity.activity_name_range),
-    "date_lookup": _lookup,
+    "date_lookup": date_lookup,
     "catalog_items": lambda spark, sf_dir: _catalogued(spark, sf_dir).drop("seq"),
     "scored_inventory": inputs.inventory_table,
-    "workspace_derived": lambda spark, sf_dir: inventory.derive_workspace_dates(
-        _catalogued(spark, sf_dir), AS_OF
-    ).drop("seq"),
+    "workspace_derived": workspace_derived,
     "inventory_deduped": _over(inputs.scored_entries, inventory.dedupe_inventory),
     "lake_tables_by_path": lambda spark, sf_dir: discovery.discovered_tables(
         _paths(spark, sf_dir)
