@@ -27,17 +27,27 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.summarize_activity(inputs.raw_events(spark, sf_dir))
 
 
+@inputs.stored
+def stored_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summary(spark, sf_dir)
+
+
 def policy_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readiness.build_policy(inputs.inventory_table(spark, sf_dir), AS_OF)
 
 
+@inputs.stored
+def stored_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return policy_table(spark, sf_dir)
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Inventory, activity summary and policy as the stored tables the report reads."""
-    folder = scratch_folder(spark)
-    items = stage(inputs.inventory_table(spark, sf_dir), f"{folder}/inventory")
-    summary = stage(_summary(spark, sf_dir), f"{folder}/activity")
-    policy = stage(readiness.build_policy(items, AS_OF), f"{folder}/policy")
-    return items, summary, policy
+    """Inventory, activity summary and policy: the stored tables the report reads."""
+    return (
+        inputs.inventory_table(spark, sf_dir),
+        stored_summary(spark, sf_dir),
+        stored_policy(spark, sf_dir),
+    )
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +146,7 @@ def summary_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.merge_activity_summaries(older, newer)
 
 
-def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+def activity_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = inputs.event_pages(spark, sf_dir)
     return activity.activity_range(activity.usable_events(pages, mail_dates=True))
 
@@ -144,12 +154,18 @@ def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Inventory.
 
 
+@inputs.stored
+def stored_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity_range(spark, sf_dir)
+
+
 def date_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = scanner.scanner_dates(inputs.scanner_pages(spark, sf_dir))
-    return inventory.build_date_lookup(dates, _ranges(spark, sf_dir))
+    return inventory.build_date_lookup(dates, stored_ranges(spark, sf_dir))
 
 
-def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+@inputs.stored
+def stored_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory.catalog_entries(
         listings.workspaces(inputs.workspace_pages(spark, sf_dir)),
         listings.items(inputs.item_pages(spark, sf_dir)),
@@ -157,13 +173,10 @@ def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalogued(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_folder(spark)
-    dates = scanner.scanner_dates(inputs.scanner_pages(spark, sf_dir))
-    ranges = stage(_ranges(spark, sf_dir), f"{folder}/ranges")
     return inventory.catalog_items(
-        stage(_entries(spark, sf_dir), f"{folder}/entries"),
-        inventory.build_date_lookup(dates, ranges),
-        activity.activity_name_range(ranges),
+        stored_entries(spark, sf_dir),
+        date_lookup(spark, sf_dir),
+        activity.activity_name_range(stored_ranges(spark, sf_dir)),
         AS_OF, POLICY, DEFAULT_DAYS,
     )
 
@@ -175,8 +188,7 @@ def workspace_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parents(spark: SparkSession, sf_dir: str, item_type: str, column: str) -> DataFrame:
     """Lakehouses or warehouses straight from the listings; dates play no part here."""
-    entries = stage(_entries(spark, sf_dir), scratch_folder(spark))
-    return discovery.parents(entries, item_type, column)
+    return discovery.parents(stored_entries(spark, sf_dir), item_type, column)
 
 
 def _scored(entries: DataFrame) -> DataFrame:
@@ -280,15 +292,15 @@ QUERIES: dict[str, Query] = {
     "activity_summary": _summary,
     "summary_incremental": summary_incremental,
     "activity_coverage": _over(inputs.raw_events, reports.activity_coverage),
-    "activity_by_type": _over(_summary, reports.activity_by_type),
-    "activity_by_workspace": _over(_summary, reports.activity_by_workspace),
+    "activity_by_type": _over(stored_summary, reports.activity_by_type),
+    "activity_by_workspace": _over(stored_summary, reports.activity_by_workspace),
     "activity_distribution": _over(inputs.raw_events, reports.activity_distribution, 15),
     "daily_volume": _over(inputs.raw_events, reports.daily_volume),
     "rows_per_collection": _over(inputs.raw_events, reports.rows_per_collection),
     "latest_collection": _over(inputs.raw_events, adhoc.latest_collection),
-    "summary_newest": _over(_summary, adhoc.newest_first),
-    "modified_last_days": _over(_summary, adhoc.modified_since, AS_OF, 20),
-    "stale_items": _over(_summary, adhoc.not_modified_since, AS_OF, 20),
+    "summary_newest": _over(stored_summary, adhoc.newest_first),
+    "modified_last_days": _over(stored_summary, adhoc.modified_since, AS_OF, 20),
+    "stale_items": _over(stored_summary, adhoc.not_modified_since, AS_OF, 20),
     "item_events": _over(inputs.raw_events, adhoc.item_events, "Customer#000000077"),
     # Listings and scans.
     "workspaces": lambda spark, sf_dir: listings.workspaces(
@@ -303,8 +315,8 @@ QUERIES: dict[str, Query] = {
     "lake_tables_listed": lambda spark, sf_dir: _listed(spark, sf_dir).drop("seq"),
     "path_listing": lambda spark, sf_dir: _paths(spark, sf_dir).drop("seq"),
     # Inventory.
-    "activity_range": _ranges,
-    "activity_name_range": _over(_ranges, activity.activity_name_range),
+    "activity_range": activity_range,
+    "activity_name_range": _over(stored_ranges, activity.activity_name_range),
     "date_lookup": date_lookup,
     "catalog_items": lambda spark, sf_dir: _catalogued(spark, sf_dir).drop("seq"),
     "scored_inventory": inputs.inventory_table,
