@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -16,6 +17,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="shelflife-warehouse-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

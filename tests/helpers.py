@@ -1,0 +1,52 @@
+"""Small frames for the edge-case tests."""
+
+from __future__ import annotations
+
+import json
+from datetime import date, datetime
+
+from pyspark.sql import functions as F
+
+from shelflife.schemas import ENTRY_SEQ, PAGE_SEQ
+
+AS_OF = datetime(2026, 3, 20, 12)
+
+
+def day(text):
+    return None if text is None else date.fromisoformat(text)
+
+
+def moment(text):
+    return None if text is None else datetime.fromisoformat(text)
+
+
+def pages(spark, bodies, **columns):
+    """Pages in the given order; extra columns hold one value per page."""
+    names = list(columns)
+    rows = [
+        (i, body if isinstance(body, str) else json.dumps(body), *[columns[n][i] for n in names])
+        for i, body in enumerate(bodies)
+    ]
+    kinds = "".join(
+        f", {n} {'date' if n == 'event_date' else 'string'}" for n in names
+    )
+    frame = spark.createDataFrame(rows, f"line bigint, page string{kinds}")
+    seq = F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), "line")
+    return frame.select(seq.cast(PAGE_SEQ).alias("page_seq"), "page", *names)
+
+
+def event_pages(spark, events, event_date=date(2026, 3, 10)):
+    return pages(spark, [{"activityEventEntities": events}], event_date=[event_date])
+
+
+def with_seq(frame, column="n"):
+    """Attach an entry order from an integer column."""
+    entry = F.struct(
+        F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"),
+        F.lit(0).cast("bigint").alias("line"), F.col(column).cast("bigint").alias("pos"),
+    )
+    return frame.withColumn("seq", entry.cast(ENTRY_SEQ)).drop(column)
+
+
+def plan(frame) -> str:
+    return frame._jdf.queryExecution().toString()
