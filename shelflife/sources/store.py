@@ -40,11 +40,16 @@ def stage(rows: DataFrame, folder: str) -> DataFrame:
 
 @dataclass
 class Store:
-    """Tables by short name: catalog tables, or folders below ``root`` when one is given."""
+    """Tables by short name: catalog tables, or folders below ``root`` when one is given.
+
+    ``merge_schema`` makes folders show columns that only later appends brought; it
+    reads every file's footer, so it is off unless asked for.
+    """
 
     spark: SparkSession
     root: str | None = None
     fmt: str = "parquet"
+    merge_schema: bool = False
     names: dict[str, str] = field(default_factory=lambda: dict(TABLE_NAMES))
 
     def _where(self, table: str) -> str:
@@ -63,7 +68,8 @@ class Store:
     def load(self, table: str) -> DataFrame:
         if self.root is None:
             return self.spark.table(self._where(table))
-        return self.spark.read.format(self.fmt).option("mergeSchema", True).load(self._where(table))
+        reader = self.spark.read.format(self.fmt).option("mergeSchema", self.merge_schema)
+        return reader.load(self._where(table))
 
     def load_or_empty(self, table: str, schema: T.StructType) -> DataFrame:
         """The table, or no rows of the declared schema when it was never written."""

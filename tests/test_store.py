@@ -54,7 +54,7 @@ def test_days_are_appended_replaced_and_forgotten(spark, store):
 
 
 def test_appended_days_may_bring_new_columns(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
+    store = Store(spark, str(tmp_path), merge_schema=True)
     store.append_days(events(spark, [(1, "a", "")]), "raw")
     store.append_days(events(spark, [(2, "b", "")]).withColumn("extra", F.lit(1)), "raw")
     assert {r["artifact_id"]: r["extra"] for r in store.load("raw").collect()} == {"a": None, "b": 1}
