@@ -93,3 +93,12 @@ RESERVED_NAMES = ["Files", "Tables", "TableMaintenance"]
 NOISE_TABLE_PATTERN = "/(Files|Tables|TableMaintenance)$"
 NOISE_FILE_PATTERN = "/Files/Tables/"
 GUID_PATTERN = "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+
+# Names and descriptions of sub-items and policy rows.
+SUB_ITEM_NAME = "{}/{}"
+OBJECT_NAME = "{}/{}.{}"
+LISTED_TABLE_TEXT = "Table in {} ({}, {})"
+PATH_TABLE_TEXT = "Table in {} (DFS discovered)"
+FILE_TEXT = "File in {}"
+OBJECT_TEXT = "{} in {}.{}"
+POLICY_TEXT = "Retain {} items for {} day(s)"

@@ -20,6 +20,15 @@ def first_filled(*texts: Column) -> Column:
     return F.coalesce(*[blank_to_null(text) for text in texts])
 
 
+def fill(template: str, *values: Column) -> Column:
+    """Put values into the ``{}`` places of a template; null if any value is null."""
+    pieces = template.split("{}")
+    parts = [F.lit(pieces[0])]
+    for value, piece in zip(values, pieces[1:], strict=True):
+        parts += [value, F.lit(piece)]
+    return F.concat(*parts)
+
+
 def is_blank(text: Column) -> Column:
     return text.isNull() | (text == "")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,16 +104,12 @@ def _days_in_window(collected: DataFrame, as_of: datetime, lookback_days: int) -
     )
 
 
-def new_days_only(
-    pages: DataFrame, collected: DataFrame, as_of: datetime, lookback_days: int = 28
-) -> DataFrame:
-    """Pages of the days that are in the window, over, and not collected yet.
+def days_to_collect(collected: DataFrame, as_of: datetime, lookback_days: int = 28) -> list[date]:
+    """The missing days as values, at most ``lookback_days`` of them.
 
-    The days are fetched first, at most ``lookback_days`` of them, because a literal
-    list lets the scan skip the folders of all other days.
+    As literals they let a scan skip the folders of all other days.
     """
-    todo = [row["event_date"] for row in missing_days(collected, as_of, lookback_days).collect()]
-    return pages.where(F.col("event_date").isin(todo))
+    return [row["event_date"] for row in missing_days(collected, as_of, lookback_days).collect()]
 
 
 def nameless():

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelflife.functions import times
+from shelflife.functions import fixed, times
 from shelflife.operators.reports import top
 
 ITEM = ["workspace_name", "item_type", "item_name", "item_id"]
@@ -50,7 +50,7 @@ def unknown_age(inventory: DataFrame, limit: int | None = None) -> DataFrame:
 
 def undated_items(inventory: DataFrame, limit: int | None = None) -> DataFrame:
     """Items that need attention because no source dated them."""
-    return top(inventory.where(F.col("date_source") == "none"), *ITEM, limit=limit)
+    return top(inventory.where(F.col("date_source") == fixed.SOURCE_NONE), *ITEM, limit=limit)
 
 
 def inventory_by_workspace(inventory: DataFrame, limit: int | None = None) -> DataFrame:

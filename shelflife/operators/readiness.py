@@ -46,8 +46,8 @@ def build_policy(inventory: DataFrame, as_of: datetime) -> DataFrame:
         types.withColumns(
             {
                 "action": F.lit(fixed.POLICY_ACTION),
-                "description": F.format_string(
-                    "Retain %s items for %d day(s)", "item_type", "retention_days"
+                "description": text.fill(
+                    fixed.POLICY_TEXT, F.col("item_type"), F.col("retention_days").cast("string")
                 ),
                 "updated_date": F.date_format(times.on(as_of), "yyyy-MM-dd"),
             }

@@ -59,7 +59,8 @@ def test_days_prune_folders(spark):
     days = physical(activity.missing_days(raw, AS_OF))
     assert re.search(r"PartitionFilters: \[.*event_date", days)
     pages = inputs.event_pages(spark, SF_DIR)
-    todo = activity.new_days_only(pages, raw.where("event_date < '2024-01-25'"), inputs.AS_OF, 28)
+    days = activity.days_to_collect(raw.where("event_date < '2024-01-25'"), inputs.AS_OF, 28)
+    todo = pages.where(F.col("event_date").isin(days))
     assert re.search(r"PartitionFilters: \[.*event_date", physical(todo))
     assert [r[0].day for r in todo.select("event_date").distinct().orderBy("event_date").collect()] == list(range(25, 31))
 

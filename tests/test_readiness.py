@@ -138,7 +138,7 @@ row = st.tuples(
 )
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(row, max_size=15), st.lists(st.tuples(st.sampled_from(["1", "9"]), st.just("a"), st.just("v"), dates), max_size=3))
 def test_invariants(spark, rows, seen):
     found = readiness.assess(

@@ -1,6 +1,6 @@
 """Stored tables, in the catalog and in folders; typed frames; export; the whole job."""
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +136,40 @@ def test_daily_job_can_run_again(spark, store):
     assert activity.missing_days(store.load("raw"), AS_OF).count() == 27
 
 
+def test_summary_grows_by_the_new_days_and_recovers_from_a_lost_run(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENTS.fields)
+
+    def add(*days):
+        rows = [
+            (date(2026, 3, d), datetime(2026, 3, d, 8), "Edit", "x", "X", "T", "w", "W", "u", date(2026, 3, 20))
+            for d in days
+        ]
+        store.append_days(spark.createDataFrame(rows, schema), "raw")
+        return [date(2026, 3, d) for d in days]
+
+    read = []
+    whole = activity.summarize_activity
+
+    def watched(raw):
+        read.append(raw.count())
+        return whole(raw)
+
+    monkeypatch.setattr(daily.activity, "summarize_activity", watched)
+
+    def check(new_days, repaired, rows_read):
+        daily.update_summary(store, new_days, repaired)
+        assert store.load("activity").collect() == whole(store.load("raw")).select(store.load("activity").columns).collect()
+        assert read.pop() == rows_read
+
+    check(add(1, 2), [], 2)
+    check(add(3), [], 1)
+    check([], [], 0)
+    add(4)
+    check(add(5), [], 5)
+    check(add(6), [date(2026, 3, 1)], 6)
+
+
 def test_failing_step_stops_the_job(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     broken = landed(spark)
