@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflife.llm import decontaminate, exact, mixing
+from shelflife.llm import decontaminate, exact, mixing, simhash
 from shelflife.llm.shared import table
 
 
@@ -14,6 +14,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(docs, items))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_groups(table(spark, sf_dir, "documents")))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.exact_groups(table(spark, sf_dir, "documents"), hash_all=True)
     return groups.withColumnsRenamed({"id": "doc_id", "hash": "text_sha256"})
@@ -33,6 +37,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_simhash": op2_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
 }
