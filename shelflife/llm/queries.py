@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflife.llm import decontaminate, exact, mixing, simhash
+from shelflife.llm import decontaminate, exact, mixing, simhash, warc
 from shelflife.llm.shared import table
 
 
@@ -18,6 +18,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_groups(table(spark, sf_dir, "documents")))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.round_trip(table(spark, sf_dir, "pages")))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.exact_groups(table(spark, sf_dir, "documents"), hash_all=True)
     return groups.withColumnsRenamed({"id": "doc_id", "hash": "text_sha256"})
@@ -38,11 +42,25 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
+    "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
 }
 
 ORACLE = {
+    "op4_warc": """
+        WITH sized AS (
+            SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n
+            FROM pages
+        ), firsts AS (
+            SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS first
+            FROM sized
+        )
+        SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
+               CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM firsts
+    """,
     "op5_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
