@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflife.llm import decontaminate, exact, mixing, simhash, warc
+from shelflife.llm import decontaminate, exact, mixing, simhash, tokens, warc
 from shelflife.llm.shared import table
 
 
@@ -39,12 +39,17 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.by_section(tokens.token_sections(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLE = {
