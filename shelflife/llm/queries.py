@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflife.llm import decontaminate, exact, mixing, simhash, tokens, warc
+from shelflife.llm import decontaminate, exact, language, mixing, simhash, tokens, warc
 from shelflife.llm.shared import table
 
 
@@ -43,6 +43,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.by_section(tokens.token_sections(table(spark, sf_dir, "documents")))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
@@ -50,6 +55,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op9_token_counts": op9_token_counts,
+    "op10_language": op10_language,
 }
 
 ORACLE = {

@@ -109,6 +109,20 @@ def spans_of(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with ASCII and Latin-1 letters in lower case; lengths stay."""
+    data = _LOWER[data]
+    # Letters with marks: C3 80..9E is the upper case of C3 A0..BE.
+    after = np.zeros(len(data), bool)
+    after[1:] = data[:-1] == 0xC3
+    marked = after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
+    return np.where(marked, data + np.uint8(32), data)
+
+
 def lists(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
     """A list column from its flat values and the number of values of each row."""
     offsets = np.zeros(len(counts) + 1, np.int32)
