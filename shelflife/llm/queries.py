@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflife.llm import decontaminate, exact, language, mixing, simhash, tokens, warc
+from shelflife.llm import decontaminate, exact, language, mixing, simhash, tokens, toxicity, warc
 from shelflife.llm.shared import table
 
 
@@ -39,6 +39,17 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The labels know two categories; junk is predicted first, as it explains odd wording.
+CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), CATEGORIES)
+    scored = toxicity.score(docs, chain, CATEGORIES).withColumnRenamed("id", "doc_id")
+    return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.by_section(tokens.token_sections(table(spark, sf_dir, "documents")))
 
@@ -54,6 +65,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
 }
