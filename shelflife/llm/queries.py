@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflife.llm import decontaminate, exact, language, mixing, simhash, tokens, toxicity, warc
+from shelflife.llm import decontaminate, exact, language, mixing, simhash, tokens, toxicity, warc, wrapper
 from shelflife.llm.shared import table
 
 
@@ -39,6 +39,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.digest(
+        wrapper.main_texts(table(spark, sf_dir, "pages"), columns=["page_id", "url"])
+    )
+
+
 #: The labels know two categories; junk is predicted first, as it explains odd wording.
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 
@@ -65,6 +71,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op7_html": op7_html,
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,

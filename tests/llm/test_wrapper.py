@@ -1,0 +1,132 @@
+"""Tree matching against enumeration, odd pages by hand, whole tables by a second reading."""
+
+import html
+import random
+import re
+from functools import cache
+
+import pytest
+
+from shelflife.llm import wrapper
+from shelflife.llm.dom import parse
+from shelflife.llm.queries import QUERIES
+
+
+def text(page, template=()):
+    return wrapper.article(parse(page), set(template))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("", ""),
+        ("just text &amp; more", "just text & more"),
+        ("<article><h1>A  b</h1><p>c\n d<br>e<p>f</article>", "A b\nc d e\nf"),
+        ("<nav>no</nav><article><p>a &lt;b&gt; &eacute;&#x41;&nbsp;z</p></article>", "a <b> éA z"),
+        ("<header>no</header><main><p>x<script>var t='</p>';</script>y</p></main><footer>no</footer>", "xy"),
+        ("<article><p>a</p><aside>no</aside><div class='ad-box ad'>no</div><p>b</article>", "a\nb"),
+        ("<article><p>a</p><form><p>no<input></form><section id=comments><p>no</section></article>", "a"),
+        ("<article><p>a</article><article class='comment'><p>no</article>", "a"),
+        ("<body><div class='cookie-notice'>no</div><p>a</p><ul><li>b<li>c</ul>", "a\nb\nc"),
+        ("<article><p>a <b>b <i>c</b> d</i> e</p><!-- no <p> --><p>f", "a b c d e\nf"),
+        ("<article><p title='>'>a</p><p title=\"x>a</p><p>b</article>", "a\na\nb"),
+        ("<article>loose <div>a<div>b</div>c</div> end</article>", "loose\na\nb\nc\nend"),
+        ("<ARTICLE><P>A</P></ARTICLE>", "A"),
+        ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a\nb\nc"),
+        ("<article><p>1 < 2 and 3 > 2</p></article>", "1 < 2 and 3 > 2"),
+        ("<style>p{}", ""), ("<script>", ""), ("<article>", ""), ("</p></div>x", "x"),
+        ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
+    ],
+)
+def test_odd_pages(page, want):
+    assert text(page) == want
+    wrapper.Layout.of(parse(page))
+
+
+def best(a, b):
+    """Size of the largest matching, from the definition."""
+
+    @cache
+    def match(i, j):
+        if a.keys[i] != b.keys[j]:
+            return 0
+
+        def forest(xs, ys):
+            if not xs or not ys:
+                return 0
+            here = match(xs[0], ys[0])
+            options = [forest(xs[1:], ys), forest(xs, ys[1:])]
+            return max(options + ([here + forest(xs[1:], ys[1:])] if here else []))
+
+        return 1 + forest(tuple(a.kids[i]), tuple(b.kids[j]))
+
+    return match(0, 0)
+
+
+def test_alignment_is_the_largest():
+    rng = random.Random(7)
+
+    def layout():
+        n = rng.randrange(1, 9)
+        return wrapper.Layout(["r"] + [rng.choice("ab") for _ in range(n)], [-1] + [rng.randrange(i + 1) for i in range(n)])
+
+    for _ in range(300):
+        a, b = layout(), layout()
+        found = wrapper.align(a, b)
+        assert sum(i >= 0 for i in found) == best(a, b)
+        for j, i in enumerate(found):
+            assert i < 0 or a.keys[i] == b.keys[j]
+            assert i <= 0 or a.parents[i] == found[b.parents[j]]
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame([(*r, "t") for r in rows], "page_id bigint, url string, html string, text string")
+
+
+def texts(found):
+    return {r.page_id: r.text for r in wrapper.digest(found).collect()}
+
+
+def test_template_of_a_host_without_articles(spark):
+    rows = []
+    for i in range(12):
+        body = f"<div>Site of things</div><div class=x><p>story {i} one<p>story {i} two</div><div class=y>All rights</div>"
+        rows.append((i, f"http://a.example/{i}", f"<html><body>{body}</body></html>"))
+    rows += [(100 + i, "http://b.example/p", "<body><div>copy</div><p>of one page</p></body>") for i in range(20)]
+    rows += [(200, "http://a.example/odd", "<body><p>other</p></body>"), (201, None, None), (202, "x", "")]
+    rows += [(203, "http://a.example/1", None), (None, "http://c.example", "<p>no id</p>")]
+    got = texts(wrapper.main_texts(pages_of(spark, rows)))
+    assert [got[i] for i in range(12)] == [f"story {i} one\nstory {i} two" for i in range(12)]
+    assert {got[100 + i] for i in range(20)} == {"copy\nof one page"}
+    assert got[200] == "other" and got[None] == "no id"
+    assert got[201] == got[202] == got[203] == ""
+
+
+def test_article_keeps_headings_and_paragraphs(spark):
+    rows = [
+        (i, "https://a.example", f"<article><h1>Same</h1><div class=bar>Tell a friend</div><p>Same</p><ul><li>{i}</ul></article>")
+        for i in range(10)
+    ]
+    got = texts(wrapper.main_texts(pages_of(spark, rows)))
+    assert got == {i: f"Same\nSame\n{i}" for i in range(10)}
+
+
+def test_joins_instead_of_broadcasts(spark, monkeypatch):
+    rows = [(i, f"http://{i % 3}.example/", f"<body><i>same</i><p>{i}</p></body>") for i in range(30)]
+    want = texts(wrapper.main_texts(pages_of(spark, rows)))
+    monkeypatch.setattr(wrapper, "BROADCAST_BYTES", -1)
+    assert texts(wrapper.main_texts(pages_of(spark, rows))) == want == {i: str(i) for i in range(30)}
+    assert wrapper.main_texts(pages_of(spark, rows).limit(0)).count() == 0
+
+
+def test_whole_table(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    raw = {r.page_id: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    got = QUERIES["op7_html"](spark, sf_dir).collect()
+    assert len(got) == len(raw)
+    for r in got:
+        inner = re.search(r"<article>(.*?)</article>", raw[r.page_id].html, re.S)[1]
+        parts = re.split(r"</?(?:p|h1)>", inner)
+        parts = [" ".join(html.unescape(re.sub(r"</?b>|<br>", " ", p)).split()) for p in parts]
+        want = "\n".join(p for p in parts if p)
+        assert (r.url, r.text, r.n_chars) == (raw[r.page_id].url, want, len(want))
