@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflife.llm import decontaminate, exact, language, mixing, simhash, tokens, toxicity, warc, wrapper
+from shelflife.llm import decontaminate, exact, language, mixing, simhash, substrings, tokens, toxicity, warc, wrapper
 from shelflife.llm.shared import table
 
 
@@ -18,6 +18,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_groups(table(spark, sf_dir, "documents")))
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return substrings.digest(substrings.without_repeats(docs, with_kept=False))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.round_trip(table(spark, sf_dir, "pages")))
 
@@ -68,6 +73,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
+    "op3_suffix_array": op3_suffix_array,
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
