@@ -17,29 +17,9 @@ READ_ONLY_ACTIVITIES = [
     "DiscoverSuggestedPeople", "DiscoverSuggestedArtifacts",
 ]
 
-# Retention days per item type, and for every other type.
+# Retention days of every type, and of the types that differ.
 DEFAULT_RETENTION_DAYS = 10
-RETENTION_DAYS = {
-    "Lakehouse": 10,
-    "Warehouse": 10,
-    "Notebook": 10,
-    "Pipeline": 10,
-    "Report": 20,
-    "SemanticModel": 20,
-    "DataPipeline": 10,
-    "Dataflow": 10,
-    "Environment": 10,
-    "KQLDatabase": 10,
-    "Eventstream": 10,
-    "MLModel": 10,
-    "MLExperiment": 10,
-    "SparkJobDefinition": 10,
-    "Workspace": 10,
-    "LakehouseTable": 10,
-    "LakehouseFile": 10,
-    "WarehouseTable": 10,
-    "WarehouseView": 10,
-}
+RETENTION_DAYS = {"Report": 20, "SemanticModel": 20}
 
 # Item types that other operators select or produce.
 WORKSPACE = "Workspace"

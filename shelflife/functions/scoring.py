@@ -17,7 +17,11 @@ from shelflife.functions import fixed, times
 
 
 def retention_days(item_type: Column, policy: dict[str, int] | None, default_days: int) -> Column:
-    """Days for a type from a policy mapping; types it does not list get the default."""
+    """Days for a type from a policy mapping; types it does not list get the default.
+
+    Without a mapping only the types that differ by rule are listed, so the default
+    reaches all others.
+    """
     mapping = fixed.RETENTION_DAYS if policy is None else policy
     if not mapping:
         return F.lit(default_days)

@@ -11,12 +11,16 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_ISO = (
-    r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:\.\d+)?)?)?)?)"
-    r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?$"
-)
+_OFFSET = r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d+)?)?)?)?"
+_CLOCK = r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?)?)?"
+_ISO = rf"^(?:(\d{{4}})-(\d{{2}})-(\d{{2}})|(\d{{4}})(\d{{2}})(\d{{2}})){_CLOCK}{_OFFSET}$"
+_ISO_PARTS = "$1$4-$2$5-$3$6 $7:$8:$9.$10"
+_WEEK = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?(?=$|[T ])"
 _ISO_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"
-_MAIL_DATE = r"^(?:[A-Za-z]+,\s*)?(\d{1,2})\s+([A-Za-z]{3})[a-z]*\s+(\d{4})\s+(\d{1,2}:\d{2}(?::\d{2})?).*$"
+_MAIL_DATE = (
+    r"^(?:[A-Za-z]+,\s*)?(\d{1,2})\s+([A-Za-z]{3})[a-z]*\s+(\d{4}|\d{2})\s+"
+    r"(\d{1,2}:\d{2}(?::\d{2})?).*$"
+)
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
@@ -30,22 +34,45 @@ def on(moment: datetime) -> Column:
     return F.lit(moment.date())
 
 
+def week_dates(text: Column) -> Column:
+    """``2026-W12-2`` at the start of a text as a calendar date; other texts unchanged."""
+    year, week, day = (F.regexp_extract(text, _WEEK, i) for i in (1, 2, 3))
+    number = week.try_cast("int")
+    first = F.date_trunc("week", F.make_date(year.try_cast("int"), F.lit(1), F.lit(4))).cast("date")
+    monday = F.date_add(first, (number - 1) * 7)
+    # A week belongs to the year of its Thursday.
+    exists = number.between(1, 53) & (F.year(F.date_add(monday, 3)) == year.try_cast("int"))
+    found = F.date_add(monday, F.coalesce(day.try_cast("int"), F.lit(1)) - 1)
+    rest = F.regexp_replace(text, _WEEK, "")
+    return F.when(
+        text.rlike(_WEEK), F.when(exists, F.concat(found.cast("string"), rest))
+    ).otherwise(text)
+
+
 def parse_iso(text: Column) -> Column:
-    """ISO 8601 with optional fraction and offset, else its first 19 characters."""
+    """ISO 8601, extended, basic or by week, with optional fraction and offset.
+
+    Other texts are tried by their first 19 characters.
+    """
     prefix = F.substring(text, 1, 19)
-    return F.when(text.rlike(_ISO), F.regexp_extract(text, _ISO, 1).try_cast("timestamp_ntz")).when(
+    by_day = week_dates(text)
+    parts = F.regexp_replace(F.regexp_replace(by_day, _ISO, _ISO_PARTS), "[ :.]+$", "")
+    return F.when(by_day.rlike(_ISO), parts.try_cast("timestamp_ntz")).when(
         prefix.rlike(_ISO_PREFIX), prefix.try_cast("timestamp_ntz")
     )
 
 
 def parse_mail_date(text: Column) -> Column:
-    """The mail form ``Tue, 17 Mar 2026 12:00:00 GMT``; weekday and zone are ignored."""
-    ordered = F.regexp_replace(text, _MAIL_DATE, "$3-$2-$1 $4")
-    name_at = F.position(F.lower(F.substring(ordered, 6, 3)), F.lit(_MONTHS))
+    """The mail form ``Tue, 17 Mar 2026 12:00:00 GMT``; weekday and zone are ignored.
+
+    Years of two digits are 1969 to 2068.
+    """
+    day, name, year, clock = (F.regexp_extract(text, _MAIL_DATE, i) for i in (1, 2, 3, 4))
+    name_at = F.position(F.lower(name), F.lit(_MONTHS))
     month = F.when(name_at % 3 == 1, (name_at + 2) / 3).cast("int")
-    stamp = F.concat(
-        F.substring(ordered, 1, 5), month.cast("string"), F.substring(ordered, 9, 20)
-    )
+    century = F.when(year > "68", "19").otherwise("20")
+    whole_year = F.when(F.length(year) == 2, F.concat(century, year)).otherwise(year)
+    stamp = F.concat(whole_year, F.lit("-"), month.cast("string"), F.lit("-"), day, F.lit(" "), clock)
     return F.when(text.rlike(_MAIL_DATE), stamp.try_cast("timestamp_ntz"))
 
 

@@ -126,7 +126,7 @@ def status_contains(readiness: DataFrame, word: str = "EXCEEDS") -> DataFrame:
     return readiness.where(F.col("status").contains(word))
 
 
-def exceeding_items(report: DataFrame, limit: int | None = 100) -> DataFrame:
+def exceeding_items(report: DataFrame, limit: int | None = None) -> DataFrame:
     rows = report.where(F.col("exceeds_retention"))
     ordered = top(rows, F.desc("days_overdue"), *ITEM, limit=limit)
     return ordered.select(
@@ -135,7 +135,7 @@ def exceeding_items(report: DataFrame, limit: int | None = 100) -> DataFrame:
     )
 
 
-def within_items(report: DataFrame, limit: int | None = 100) -> DataFrame:
+def within_items(report: DataFrame, limit: int | None = None) -> DataFrame:
     rows = report.where(~F.col("exceeds_retention"))
     ordered = top(rows, "item_type", "workspace_name", "item_name", "item_id", limit=limit)
     return ordered.select(
@@ -144,7 +144,7 @@ def within_items(report: DataFrame, limit: int | None = 100) -> DataFrame:
     )
 
 
-def unassessable_items(report: DataFrame, limit: int | None = 50) -> DataFrame:
+def unassessable_items(report: DataFrame, limit: int | None = None) -> DataFrame:
     rows = report.where(F.col("last_modified_date").isNull())
     ordered = top(rows, "item_type", "workspace_name", "item_name", "item_id", limit=limit)
     return ordered.select("workspace_name", "item_name", "item_type")

@@ -120,12 +120,17 @@ def sub_item_counts(inventory: DataFrame) -> DataFrame:
 
 
 def activity_coverage(raw: DataFrame) -> DataFrame:
-    return raw.agg(
+    """Days and items are counted as groups, so that no event is repeated for it."""
+    days = raw.groupBy("event_date").agg(F.count("*").alias("n"))
+    by_day = days.agg(
         F.min("event_date").alias("earliest"),
         F.max("event_date").alias("latest"),
-        F.countDistinct("event_date").alias("days_covered"),
-        F.countDistinct("artifact_id").alias("unique_items"),
-        F.count("*").alias("total_events"),
+        F.count("event_date").alias("days_covered"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_events"),
+    )
+    items = raw.select("artifact_id").distinct().agg(F.count("artifact_id")).scalar()
+    return by_day.select(
+        "earliest", "latest", "days_covered", items.alias("unique_items"), "total_events"
     )
 
 
@@ -146,7 +151,7 @@ def activity_by_workspace(summary: DataFrame, limit: int | None = None) -> DataF
     return top(grouped, "workspace_name", limit=limit)
 
 
-def activity_distribution(raw: DataFrame, limit: int | None = 15) -> DataFrame:
+def activity_distribution(raw: DataFrame, limit: int | None = None) -> DataFrame:
     grouped = raw.groupBy("activity").agg(
         F.count("*").alias("event_count"), F.countDistinct("artifact_id").alias("unique_items")
     )

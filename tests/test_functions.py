@@ -38,6 +38,22 @@ def evaluate(spark, values, expression, kind="string"):
         ("2026-1-1T10:00:00", T10, T10),
         ("Tue, 17 Mar 2026 12:00:00 GMT", None, MAIL),
         ("17 Mar 2026 12:00:00 +0200", None, MAIL),
+        ("Tue, 17 Mar 26 12:00:00 GMT", None, MAIL),
+        ("17 Mar 69 12:00 GMT", None, datetime(1969, 3, 17, 12)),
+        ("20260317T120000Z", MAIL, MAIL),
+        ("20260317", datetime(2026, 3, 17), datetime(2026, 3, 17)),
+        ("2026-03-17T120000", MAIL, MAIL),
+        ("20260317 12:00:00.5", datetime(2026, 3, 17, 12, 0, 0, 500000), datetime(2026, 3, 17, 12, 0, 0, 500000)),
+        ("2026-03-17T12:00:00,25+01:00", datetime(2026, 3, 17, 12, 0, 0, 250000), datetime(2026, 3, 17, 12, 0, 0, 250000)),
+        ("2026-0317", None, None),
+        ("20260230", None, None),
+        ("2026-W12-2", datetime(2026, 3, 17), datetime(2026, 3, 17)),
+        ("2026W122T120000", MAIL, MAIL),
+        ("2026-W12", datetime(2026, 3, 16), datetime(2026, 3, 16)),
+        ("2026-W53-5", datetime(2027, 1, 1), datetime(2027, 1, 1)),
+        ("2027-W53-1", None, None),
+        ("2026-W00-1", None, None),
+        ("2026-01-01T10", T10, T10),
         ("Tue, 17 Foo 2026 12:00:00 GMT", None, None),
         ("Tue, 17 Anf 2026 12:00:00 GMT", None, None),
         ("Tue, 41 Mar 2026 12:00:00 GMT", None, None),

@@ -43,9 +43,9 @@ def test_dedup_is_cut_before_the_shuffle(spark):
 
 def test_top_reports_do_not_sort_everything(spark):
     raw = inputs.raw_events(spark, SF_DIR)
-    assert "TakeOrderedAndProject" in physical(reports.activity_distribution(raw))
+    assert "TakeOrderedAndProject" in physical(reports.activity_distribution(raw, 15))
     report = readiness.assess(*queries._tables(spark, SF_DIR), AS_OF)
-    assert "TakeOrderedAndProject" in physical(adhoc.exceeding_items(report))
+    assert "TakeOrderedAndProject" in physical(adhoc.exceeding_items(report, 100))
 
 
 def test_policy_reads_three_columns(spark):
