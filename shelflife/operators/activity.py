@@ -30,14 +30,21 @@ def normalize_events(
     The workspace name comes from the event, else from the lookup by workspace id,
     else it is the personal label.  ``event_date`` is the requested day.
     """
+    named = resolve_names(usable_events(pages), workspace_names, mask_personal)
+    return conform(named.withColumn("collection_date", times.on(as_of)), EVENTS)
+
+
+def resolve_names(
+    events: DataFrame, workspace_names: DataFrame, mask_personal: bool = True
+) -> DataFrame:
+    """``workspace_name`` from the event, else the lookup, else the personal label."""
     found = text.blank_to_null(F.col("lookup_name"))
     fallback = F.lit(fixed.PERSONAL_LABEL) if mask_personal else _label_by_user()
     lookup = workspace_names.select("workspace_id", F.col("workspace_name").alias("lookup_name"))
-    named = lookup_join(usable_events(pages), lookup, ["workspace_id"]).withColumn(
+    return lookup_join(events, lookup, ["workspace_id"]).withColumn(
         "workspace_name",
         F.coalesce(text.blank_to_null(F.col("workspace_name")), found, fallback),
     )
-    return conform(named.withColumn("collection_date", times.on(as_of)), EVENTS)
 
 
 def _label_by_user():
@@ -47,8 +54,10 @@ def _label_by_user():
     ).otherwise(text.personal_label(F.col("user_id"), masked=False))
 
 
-def collection_counters(pages: DataFrame) -> DataFrame:
-    """What the collector dropped and kept, in one pass.
+def collection_counters(
+    pages: DataFrame, workspace_names: DataFrame, mask_personal: bool = True
+) -> DataFrame:
+    """What the collector dropped, kept and could name, in one pass.
 
     An event counts as raw once it has a time text and an id, before its time is parsed.
     """
@@ -56,15 +65,16 @@ def collection_counters(pages: DataFrame) -> DataFrame:
     identified = timed & F.col("artifact_id").isNotNull()
     read_only = text.is_read_only(F.col("activity"))
     kept = identified & ~read_only & F.col("event_timestamp").isNotNull()
-    return parsed_events(pages).agg(
+    events = resolve_names(parsed_events(pages), workspace_names, mask_personal)
+    unnamed = text.is_blank(F.col("workspace_name"))
+    return events.agg(
         F.count_if(identified).alias("raw_events"),
         F.count_if(identified & read_only).alias("read_only_excluded"),
         F.count_if(kept).alias("kept"),
         F.count_if(identified & ~F.col("has_direct_id")).alias("recovered_by_fallback"),
         F.count_if(timed & F.col("artifact_id").isNull()).alias("dropped_without_id"),
-        # Every kept event gets a name: its own, the lookup's or the personal label.
-        F.count_if(kept).alias("named"),
-        F.lit(0).cast("bigint").alias("unnamed"),
+        F.count_if(kept & ~unnamed).alias("named"),
+        F.count_if(kept & unnamed).alias("unnamed"),
     )
 
 
@@ -124,13 +134,11 @@ def backfill_names(raw: DataFrame, workspace_names: DataFrame, mask_personal: bo
     then reaches every blank row, also those without a workspace id.
     """
     lookup = workspace_names.select("workspace_id", F.col("workspace_name").alias("lookup_name"))
-    matched = lookup_join(raw, lookup, ["workspace_id"])
     blank = text.is_blank(F.col("workspace_name"))
+    # Only rows without a name meet the lookup.
+    matched = lookup_join(raw.where(blank), lookup, ["workspace_id"])
     filled = matched.withColumn(
-        "workspace_name",
-        F.when(blank & F.col("lookup_name").isNotNull(), F.col("lookup_name")).otherwise(
-            F.col("workspace_name")
-        ),
+        "workspace_name", F.coalesce("lookup_name", "workspace_name")
     ).select(*raw.columns)
     unnamed = raw.where(nameless()).select("workspace_id").distinct()
     named = lookup.where(~text.is_blank(F.col("lookup_name"))).select("workspace_id")
@@ -140,10 +148,11 @@ def backfill_names(raw: DataFrame, workspace_names: DataFrame, mask_personal: bo
     if not mask_personal:
         label = text.personal_label(F.col("user_id"), masked=False)
         blank = blank & ~text.is_blank(F.col("user_id"))
-    return filled.withColumn(
+    labelled = filled.withColumn(
         "workspace_name",
         F.when(blank & label_needed, label).otherwise(F.col("workspace_name")),
     )
+    return raw.where(~blank).unionByName(labelled)
 
 
 def backfill_accounting(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelflife.functions import fixed, scoring, times
-from shelflife.operators.joins import lookup_join, salted_join
+from shelflife.operators.joins import lookup_join, spread_join
 from shelflife.operators.keep import keep_first
 from shelflife.schemas import INVENTORY, conform, no_entry
 
@@ -65,9 +65,8 @@ def attach_dates(entries: DataFrame, lookup: DataFrame, names: DataFrame) -> Dat
     """Dates by id, else by (workspace, name).
 
     A hit by id wins even where both its dates are null, so the name is only tried
-    for ids the lookup does not hold.  Counts the entries first.
+    for ids the lookup does not hold.
     """
-    n_rows = entries.count()
     dates = lookup.select(
         F.col("id").alias("item_id"), F.col("created").alias("id_created"),
         F.col("modified").alias("id_modified"), F.col("source").alias("id_source"),
@@ -79,10 +78,8 @@ def attach_dates(entries: DataFrame, lookup: DataFrame, names: DataFrame) -> Dat
     keyed = entries.withColumns(
         {"ws_key": F.lower("workspace_id"), "name_key": F.lower("item_name")}
     )
-    by_id = salted_join(keyed, dates, ["item_id"], n_rows=n_rows, count_keys_in=entries)
-    by_name = salted_join(
-        by_id, fallback, ["ws_key", "name_key"], n_rows=n_rows, count_keys_in=keyed
-    )
+    by_id = spread_join(keyed, dates, ["item_id"])
+    by_name = spread_join(by_id, fallback, ["ws_key", "name_key"])
     hit = F.col("id_source").isNotNull()
     source = (
         F.when(hit, F.col("id_source"))

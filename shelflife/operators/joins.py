@@ -1,25 +1,20 @@
 """Joins of many rows to a keyed lookup, safe against hot keys.
 
-Spark's own skew handling does not apply when one side is an aggregate that sits
-directly on the join's shuffle, which is the usual shape here (one date per item,
-one name per workspace).  So the hot keys are split explicitly: their rows are
-spread over many salts, and their lookup rows are repeated once per salt.  All
-other keys keep a single salt, and no row is dropped.
+Adaptive execution splits the rows of a hot key, also of the null key, over many
+tasks, whatever their number, as long as both sides of a join are shuffled for it and
+for nothing else.  A lookup is usually an aggregate (one date per item, one name per
+workspace) that sits directly on the join's shuffle; so it is rebalanced first, one
+more shuffle of the small side.  Rows of a hot key that one input task read stay
+together: a part is never larger than that task was.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-SPLITS = 256
 
 
 def fits_broadcast(
@@ -42,83 +37,22 @@ def lookup_join(
     how: str = "left",
     small: bool | None = None,
 ) -> DataFrame:
-    """Join to a listing that is usually small: broadcast if measured small, else salted.
+    """Join to a listing that is usually small: broadcast if measured small, else spread.
 
     The measurement is an action on the lookup, so the lookup should be a listing or
-    a stored table, not a long computation; use :func:`salted_join` for those.
+    a stored table, not a long computation; use :func:`spread_join` for those.
     ``small`` passes on the result of an earlier measurement.
     """
     if fits_broadcast(lookup) if small is None else small:
         return rows.join(F.broadcast(lookup), keys, how)
-    return salted_join(rows, lookup, keys, how)
-
+    return spread_join(rows, lookup, keys, how)
 
-def hottest(counts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the most frequent keys, from a frame of keys and ``n_rows``.
 
-    At most ``HOT_KEYS`` rows, so always broadcastable; any key beyond that limit
-    holds less than one ``HOT_KEYS``-th of all rows.  Ties are broken, so every
-    evaluation gives the same keys.
-    """
-    return (
-        counts.where(F.col("n_rows") >= hot_rows)
-        .select(F.xxhash64(*keys).alias("_key"), "n_rows")
-        .orderBy(F.desc("n_rows"), "_key")
-        .limit(HOT_KEYS)
-        .select("_key")
-        .distinct()
-        .withColumn("_hot", F.lit(True))
-    )
-
-
-def salted_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    how: str = "left",
-    count_keys_in: DataFrame | None = None,
-    key_counts: DataFrame | None = None,
-    n_rows: int | None = None,
-    hot_rows: int = HOT_ROWS,
-    splits: int = SPLITS,
+def spread_join(
+    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left"
 ) -> DataFrame:
     """Equi-join where ``rows`` may have hot or null keys; ``how`` must not keep lookup rows.
 
-    Hot keys are counted in ``rows``, or in ``count_keys_in``, a cheaper frame with the
-    same keys such as the stored table ``rows`` came from; ``key_counts`` passes counts
-    that are known already.  Fewer than ``hot_rows`` rows cannot hold a hot key and are
-    joined as they are; unless ``n_rows`` gives their number or an upper bound of it,
-    that check is an action, a row count of the same frame.
-
-    The salt of a row is its input partition, so a recomputed task sends it to the same
-    place, exact copies of one row are split like any others, and no column has to be
-    read for it.
+    Runs nothing by itself; hot keys are found from the shuffle's own statistics.
     """
-    source = rows if count_keys_in is None else count_keys_in
-    if (source.count() if n_rows is None else n_rows) < hot_rows:
-        return rows.join(lookup, keys, how)
-    if key_counts is None:
-        key_counts = source.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("n_rows"))
-    hot = hottest(key_counts, keys, hot_rows)
-    spread = F.pmod(F.spark_partition_id(), F.lit(splits))
-    no_key = reduce(or_, [F.col(name).isNull() for name in keys])
-    salted = (
-        rows.withColumn("_key", F.xxhash64(*keys))
-        .join(F.broadcast(hot), "_key", "left")
-        .withColumn("_salt", F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0)))
-        .drop("_key", "_hot")
-    )
-    copies = (
-        lookup.withColumn("_key", F.xxhash64(*keys))
-        .join(F.broadcast(hot), "_key", "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop("_key", "_hot")
-    )
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return rows.join(lookup.hint("rebalance"), keys, how)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelflife.functions import fixed, scoring, text, times
-from shelflife.operators.joins import lookup_join, salted_join
+from shelflife.operators.joins import lookup_join, spread_join
 from shelflife.operators.keep import keep_first
 from shelflife.schemas import POLICY, READINESS, conform
 
@@ -85,21 +85,16 @@ def assess(inventory: DataFrame, activity: DataFrame, policy: DataFrame, as_of:
 
     Sub-items carry their parent's id, so the parent's activity dates them too.
     Besides the report's columns it keeps ``exceeds_retention``, which is null where
-    a date or a retention period is missing.  Counts the inventory's rows first, which
-    on a stored table reads no column.
+    a date or a retention period is missing.
     """
-    n_rows = inventory.count()
     keyed = without_system_objects(inventory).select(
         "workspace_name", "item_name", "item_type", "item_id",
         F.col("last_modified_date").alias("inventory_modified_date"), "created_date",
         text.name_key(F.col("workspace_name")).alias("ws_key"),
         text.name_key(F.col("item_name")).alias("name_key"),
     )
-    by_id = salted_join(keyed, latest_by_id(activity), ["item_id"], n_rows=n_rows, count_keys_in=keyed)
-    names = ["ws_key", "name_key"]
-    by_name = salted_join(
-        by_id, latest_by_name(activity), names, n_rows=n_rows, count_keys_in=keyed
-    )
+    by_id = spread_join(keyed, latest_by_id(activity), ["item_id"])
+    by_name = spread_join(by_id, latest_by_name(activity), ["ws_key", "name_key"])
     days = policy.select("item_type", "retention_days")
     enriched = lookup_join(by_name, days, ["item_type"])
     report = scoring.readiness_columns(enriched, as_of).select(

@@ -45,6 +45,12 @@ READINESS = _schema(
     "date_source string, created_date date, report_date date, item_id string"
 )
 
+# One line per finished write of an activity day; the newest line of a day counts.
+DAYS = _schema(
+    "event_date date, n_rows bigint, n_blank bigint, n_nameless bigint, line bigint"
+)
+LANDED_DAYS = _schema("event_date date")
+
 # One landed page in source order, and one entry of a page in source order.
 PAGE_SEQ = "struct<file:string,block:bigint,line:bigint>"
 ENTRY_SEQ = "struct<file:string,block:bigint,line:bigint,pos:bigint>"

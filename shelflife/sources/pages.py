@@ -20,6 +20,20 @@ def read_pages(spark: SparkSession, path: str, one_page_per_file: bool = False)
     return ordered_pages(located(spark.read.option("wholetext", one_page_per_file).text(path)))
 
 
+def daily_pages(spark: SparkSession, path: str):
+    """Landed pages by day: a function from days to their pages, which reads no other folder.
+
+    Pages are numbered as they are read, and Spark prunes no folder by a filter on
+    numbered rows, so the days have to be known before.
+    """
+
+    def of(days: list) -> DataFrame:
+        lines = spark.read.text(path)
+        return ordered_pages(located(lines.where(F.col("event_date").isin(days))))
+
+    return of
+
+
 def located(lines: DataFrame) -> DataFrame:
     """A text scan with the file block of every line."""
     return lines.select(

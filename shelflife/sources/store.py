@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -19,19 +21,53 @@ TABLE_NAMES = {
     "activity": "activity_last_modified",
     "policy": "retention_config",
     "readiness": "retention_readiness",
+    "days": "activity_days",
+    "landed_days": "activity_landed_days",
 }
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below the shared folder the cluster names in ``spark.checkpoint.dir``."""
+_local: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where that is unset, as in tests, a local master gets a folder of its own, one per
+    application; any other master is refused.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="shelflife-")
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _local:
+        _local[application] = tempfile.mkdtemp(prefix="shelflife-")
+    return _local[application]
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder below the shared folder."""
+    shared = shared_folder(spark)
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever it is kept; nothing happens where there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder that is removed at the end, also of a run that failed."""
+    folder = scratch_folder(spark)
+    try:
+        yield folder
+    finally:
+        remove(spark, folder)
+
+
 def stage(rows: DataFrame, folder: str) -> DataFrame:
     """Write an intermediate result and read it back: computed once, lineage cut."""
     rows.write.mode("errorifexists").parquet(folder)
@@ -83,6 +119,14 @@ class Store:
         else:
             writer.save(self._where(table))
 
+    def append(self, rows: DataFrame, table: str) -> None:
+        """Append a few rows as one file."""
+        writer = rows.coalesce(1).write.format(self.fmt).mode("append")
+        if self.root is None:
+            writer.saveAsTable(self._where(table))
+        else:
+            writer.save(self._where(table))
+
     def append_days(self, rows: DataFrame, table: str) -> None:
         """Append, one folder per ``event_date``.
 
@@ -105,24 +149,29 @@ class Store:
 
         A table cannot be overwritten while it is read, so the rows are staged first.
         """
-        staged = stage(rows, scratch_folder(self.spark))
         columns = self.load(table).columns
-        writer = staged.select(columns).hint("rebalance", F.col("event_date")).write
+        with scratch(self.spark) as folder:
+            staged = stage(rows.select(columns), folder)
+            if self.root is None:
+                # A session of its own, so that no other job sees the changed setting.
+                session = self.spark.newSession()
+                session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+                staged = session.read.schema(staged.schema).parquet(folder)
+                writer = staged.hint("rebalance", F.col("event_date")).write
+                writer.insertInto(self._where(table), overwrite=True)
+                self.spark.catalog.refreshTable(self._where(table))
+            else:
+                writer = staged.hint("rebalance", F.col("event_date")).write
+                writer.format(self.fmt).mode("overwrite").option(
+                    "partitionOverwriteMode", "dynamic"
+                ).partitionBy("event_date").save(self._where(table))
+
+    def drop(self, table: str) -> None:
+        """Forget a table."""
         if self.root is None:
-            self._dynamic(lambda: writer.insertInto(self._where(table), overwrite=True))
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._where(table)}")
         else:
-            writer.format(self.fmt).mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy("event_date").save(self._where(table))
-
-    def _dynamic(self, write) -> None:
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "dynamic")
-        try:
-            write()
-        finally:
-            self.spark.conf.set(key, before)
+            remove(self.spark, self._where(table))
 
     def drop_days(self, table: str) -> None:
         """Forget a table kept by day, so that every day counts as not collected."""
@@ -136,16 +185,25 @@ class Store:
             )
 
 
+# Every value is quoted; a null is written as the symbol for it, so it differs from "".
+CSV = {
+    "header": True, "quoteAll": True, "escape": '"', "nullValue": "\u2400", "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "lineSep": "\n",
+}
+
+
 def export_csv(readiness: DataFrame, folder: str) -> None:
     """The report as CSV with header, sorted by status and days overdue.
 
     Part files follow the sort order; the whole report never passes through one task.
+    Line breaks, quotes, outer spaces and empty texts survive.
     """
     ordered = readiness.orderBy(
         "status", "days_overdue", "item_type", "workspace_name", "item_name", "item_id"
     )
-    ordered.write.mode("overwrite").option("header", True).csv(folder)
+    ordered.write.mode("overwrite").options(**CSV).csv(folder)
 
 
 def read_export(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    return conform(spark.read.option("header", True).schema(schema).csv(folder), schema)
+    rows = spark.read.options(**CSV, multiLine=True).schema(schema).csv(folder)
+    return conform(rows, schema)

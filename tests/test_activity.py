@@ -1,16 +1,19 @@
 """Events: extraction, filters, counters, days, name repair, summaries."""
 
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import AS_OF, event_pages, moment, pages
+from helpers import AS_OF, event_pages, moment, pages, plan
 from shelflife.functions import fixed
 from shelflife.operators import activity
 from shelflife.schemas import ACTIVITY, EVENTS, empty
 from shelflife.sources import events, listings, pages as page_source
+from shelflife.sources.pages import daily_pages as pages_by_day
 from shelflife.sources.store import Store
+from shelflife.streaming import ingest
 from shelflife.streaming.ingest import ingest_days, ingest_stream
 
 GUID_A, GUID_B = "0000000a-0000-4000-8000-00000000000a", "0000000b-0000-4000-8000-00000000000b"
@@ -95,7 +98,7 @@ def test_the_two_counter_sets_differ_where_the_time_does_not_parse(spark):
             {"ArtifactId": "x"},
         ],
     )
-    collector = activity.collection_counters(frame).first().asDict()
+    collector = activity.collection_counters(frame, names_of(spark)).first().asDict()
     assert collector == {
         "raw_events": 4, "read_only_excluded": 1, "kept": 1, "recovered_by_fallback": 3,
         "dropped_without_id": 1, "named": 1, "unnamed": 0,
@@ -228,13 +231,60 @@ def test_streamed_ingest_reads_new_files_only(spark, tmp_path):
     def land(days):
         lines = daily_pages(spark, days).select(F.col("page").alias("value"), "event_date")
         lines.write.mode("append").partitionBy("event_date").text(landing)
-        ingest_stream(spark, landing, names, store, AS_OF, str(tmp_path / "progress"))
+        return ingest_stream(spark, landing, names, store, AS_OF, str(tmp_path / "progress"))
 
-    land([5, 6])
-    land([6, 7])
+    assert land([5, 6]) == [date(2026, 3, 5), date(2026, 3, 6)]
+    assert land([6, 7]) == [date(2026, 3, 7)]
+    # Day 6 is collected, its late event is ignored.
     assert collected(store) == ["x5", "x6", "x7"]
 
 
+def test_streamed_ingest_loses_no_day_across_runs(spark, tmp_path):
+    store, names = Store(spark, str(tmp_path / "tables")), names_of(spark)
+    landing = str(tmp_path / "landing")
+
+    def run(landed_days, today):
+        lines = daily_pages(spark, landed_days).select(F.col("page").alias("value"), "event_date")
+        lines.write.mode("append").partitionBy("event_date").text(landing)
+        moment = datetime(2026, 3, today, 12)
+        return [d.day for d in ingest_stream(spark, landing, names, store, moment, str(tmp_path / "progress"))]
+
+    assert run([13, 15], 15) == [13]
+    assert run([16, 15], 16) == [15]
+    assert run([17], 18) == [16, 17]
+    assert collected(store) == ["x13", "x15", "x15", "x16", "x17"]
+
+
+def test_half_written_day_is_replaced(spark, tmp_path, monkeypatch):
+    store, names = Store(spark, str(tmp_path)), names_of(spark)
+    monkeypatch.setattr(ingest, "finish_days", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        ingest_days(daily_pages(spark, [5, 6]), names, store, AS_OF)
+    monkeypatch.undo()
+    assert collected(store) == ["x5", "x6"]  # there, but not finished
+    ingest_days(daily_pages(spark, [5, 5, 6, 7]), names, store, AS_OF)
+    assert collected(store) == ["x5", "x5", "x6", "x7"]
+    assert {r["event_date"].day: r["n_rows"] for r in ingest.finished_days(store).collect()} == {5: 2, 6: 1, 7: 1}
+
+
+def test_ingest_reads_due_days_only(spark, tmp_path):
+    store, names = Store(spark, str(tmp_path / "t")), names_of(spark)
+    lines = daily_pages(spark, [5, 6, 7]).select(F.col("page").alias("value"), "event_date")
+    lines.write.partitionBy("event_date").text(str(tmp_path / "landing"))
+    landed, seen = pages_by_day(spark, str(tmp_path / "landing")), []
+
+    def watched(days):
+        seen.append([d.day for d in days])
+        return landed([d for d in days if d.day < 7]) if len(seen) == 1 else landed(days)
+
+    ingest_days(watched, names, store, AS_OF)
+    ingest_days(watched, names, store, AS_OF)
+    assert collected(store) == ["x5", "x6", "x7"]
+    assert {5, 6, 7} <= set(seen[0]) and 7 in seen[1] and not {5, 6} & set(seen[1])
+    todo = landed([date(2026, 3, 7)])
+    assert re.search(r"PartitionFilters: \[.*event_date", plan(todo))
+
+
 def test_workspace_names_prefer_the_organisation(spark):
     org = pages(spark, [{"workspaces": [{"id": "w1", "name": "First"}, {"id": "w1", "name": "Last"}]}])
     own = pages(
@@ -265,4 +315,4 @@ def test_empty_inputs_keep_their_schema(spark):
     nothing = event_pages(spark, [])
     assert activity.normalize_events(nothing, names_of(spark), AS_OF).collect() == []
     assert activity.summarize_activity(empty(spark, EVENTS)).collect() == []
-    assert activity.collection_counters(nothing).first()["raw_events"] == 0
+    assert activity.collection_counters(nothing, names_of(spark)).first()["raw_events"] == 0

@@ -29,35 +29,58 @@ def as_set(frame):
     return sorted((tuple(row) for row in frame.collect()), key=repr)
 
 
+@pytest.fixture
+def small_skew(spark):
+    """Skew handling at the size of these tables, and no broadcasts."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(rows, lookup, how):
-    salted = joins.salted_join(rows, lookup, ["key"], how, hot_rows=50, splits=4)
-    assert as_set(salted) == as_set(rows.join(lookup, ["key"], how).select(salted.columns))
+def test_spread_join_equals_plain_join(rows, lookup, small_skew, how):
+    spread = joins.spread_join(rows, lookup, ["key"], how)
+    assert as_set(spread) == as_set(rows.join(lookup, ["key"], how).select(spread.columns))
+
+
+def final_plan(frame):
+    frame.collect()
+    return plan(frame).split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
 
 
-def test_hot_key_is_split_and_others_are_not(spark, rows):
-    counts = rows.dropna().groupBy("key").agg(F.count("*").alias("n_rows"))
-    hot = joins.hottest(counts, ["key"], hot_rows=500).collect()
-    expected = spark.range(1).select(F.xxhash64(F.lit("hot")).alias("h")).first()["h"]
-    assert [(r["_key"], r["_hot"]) for r in hot] == [(expected, True)]
+def test_hot_key_is_split_for_an_aggregated_lookup(spark, rows, lookup, small_skew):
+    """The lookup is an aggregate on the join's key; its own shuffle would forbid the split."""
+    totals = lookup.groupBy("key").agg(F.max("value").alias("value"))
+    assert "skew=true" in final_plan(joins.spread_join(rows, totals, ["key"]))
+    assert "skew=true" not in final_plan(rows.join(totals, ["key"], "left"))
+    sizes = joins.spread_join(rows, totals, ["key"]).where("key = 'hot'").groupBy(F.spark_partition_id())
+    counts = [r["count"] for r in sizes.count().collect()]
+    assert len(counts) > 2 and sum(counts) == 1000
 
 
-def test_few_rows_are_joined_as_they_are(rows, lookup):
-    assert "_salt" not in plan(joins.salted_join(rows, lookup, ["key"]))
-    assert "_salt" in plan(joins.salted_join(rows, lookup, ["key"], hot_rows=50))
+def test_any_number_of_hot_keys(spark, small_skew):
+    """Two thousand keys of a hundred rows: every row is found, whatever is split."""
+    many = spark.range(0, 200_000, 1, 8).select((F.col("id") % 2000).alias("key"), "id")
+    totals = many.groupBy("key").agg(F.max("id").alias("last"))
+    joined = joins.spread_join(many, totals, ["key"])
+    assert joined.where(F.col("last") == 198_000 + F.col("key")).count() == 200_000
 
 
-def test_hot_rows_reach_several_tasks(spark, rows, lookup):
-    """Without the salt one shuffle partition would get the hot third and more."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        salted = joins.salted_join(rows, lookup, ["key"], hot_rows=500, splits=16)
-        sizes = salted.where("key = 'hot'").groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert len(sizes) > 2 and sum(r["count"] for r in sizes) == 1000
+def test_null_keys_are_split(spark, small_skew):
+    rows = spark.range(0, 5000, 1, 8).select(F.when(F.col("id") % 50 == 0, F.col("id")).alias("key"), "id")
+    totals = rows.groupBy("key").agg(F.max("id").alias("last"))
+    joined = joins.spread_join(rows, totals, ["key"])
+    assert "skew=true" in final_plan(joined)
+    assert joined.count() == 5000 and joined.where("last is not null").count() == 100
 
 
 def test_size_check(spark):
@@ -67,7 +90,7 @@ def test_size_check(spark):
     assert joins.fits_broadcast(spark.range(0))
 
 
-def test_lookup_join_beyond_the_bound_is_salted(rows, lookup):
+def test_lookup_join_beyond_the_bound_is_spread(rows, lookup):
     assert "broadcast" in plan(joins.lookup_join(rows, lookup, ["key"])).lower()
     wide = joins.lookup_join(rows, lookup, ["key"], small=False)
     assert as_set(wide) == as_set(joins.lookup_join(rows, lookup, ["key"]))

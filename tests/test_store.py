@@ -2,6 +2,9 @@
 
 from datetime import date, datetime
 
+import csv
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,14 +12,15 @@ from helpers import AS_OF, event_pages, pages
 from shelflife.operators import activity
 from shelflife.plans import daily
 from shelflife.schemas import EVENTS, INVENTORY, POLICY, READINESS, empty, typed
-from shelflife.sources.store import Store, export_csv, read_export, scratch_folder, stage
+from shelflife.sources.store import TABLE_NAMES, Store, export_csv, read_export, scratch, scratch_folder, stage
+from shelflife.streaming.ingest import finish_days, finished_days
 
 
 @pytest.fixture(params=["catalog", "folder"])
 def store(request, spark, tmp_path):
     if request.param == "folder":
         return Store(spark, str(tmp_path))
-    names = {k: f"t{abs(hash(request.node.name)) % 10**8}_{k}" for k in ("inventory", "raw", "activity", "policy", "readiness")}
+    names = {k: f"t{abs(hash(request.node.name)) % 10**8}_{k}" for k in TABLE_NAMES}
     return Store(spark, names=names)
 
 
@@ -63,17 +67,42 @@ def test_appended_days_may_bring_new_columns(spark, tmp_path):
 def test_name_repair_touches_only_the_days_that_need_it(spark, store):
     names = spark.createDataFrame([("w", "Listed")], "workspace_id string, workspace_name string")
     store.append_days(events(spark, [(1, "a", ""), (1, "b", "B"), (2, "c", "C")]), "raw")
+    finish_days(store, [date(2026, 3, 1), date(2026, 3, 2)])
 
     def files():
         second = store.load("raw").where("event_date = '2026-03-02'")
         return second.select(F.input_file_name()).distinct().collect()
 
     untouched = files()
-    daily.repair_names(store, names)
+    assert daily.repair_names(store, names) == [date(2026, 3, 1)]
     assert files() == untouched
+    assert {r["event_date"].day: r["n_blank"] for r in finished_days(store).collect()} == {1: 0, 2: 0}
     assert sorted(r["workspace_name"] for r in store.load("raw").collect()) == ["B", "C", "Listed"]
 
 
+def test_repair_writes_nothing_where_nothing_can_be_named(spark, tmp_path, monkeypatch):
+    """Blank names without a workspace id stay blank, and no run rewrites their days."""
+    store = Store(spark, str(tmp_path))
+    names = spark.createDataFrame([("w", "Listed")], "workspace_id string, workspace_name string")
+    rows = events(spark, [(1, "a", ""), (2, "b", "")])
+    store.append_days(rows.withColumn("workspace_id", F.when(F.col("artifact_id") == "b", "w").otherwise("")), "raw")
+    finish_days(store, [date(2026, 3, 1), date(2026, 3, 2)])
+    assert daily.repair_names(store, names) == [date(2026, 3, 2)]
+    monkeypatch.setattr(Store, "replace_days", lambda *args: pytest.fail("nothing is to be rewritten"))
+    for _ in range(2):
+        assert daily.repair_names(store, names) == []
+
+
+def test_repair_without_users_is_tried_once_per_run_and_writes_nothing(spark, tmp_path, monkeypatch):
+    """Unmasked labels need a user; a row without one stays blank."""
+    store = Store(spark, str(tmp_path))
+    names = spark.createDataFrame([("other", "X")], "workspace_id string, workspace_name string")
+    store.append_days(events(spark, [(1, "a", "")]).withColumn("user_id", F.lit("")), "raw")
+    finish_days(store, [date(2026, 3, 1)])
+    monkeypatch.setattr(Store, "replace_days", lambda *args: pytest.fail("nothing is to be rewritten"))
+    assert daily.repair_names(store, names, mask_personal=False) == []
+
+
 def test_typed_frames_refuse_missing_keys(spark):
     row = {"item_type": "T", "retention_days": 1, "action": None, "description": None, "updated_date": None}
     assert typed(spark, [row], POLICY).schema == POLICY
@@ -97,8 +126,8 @@ def test_export_is_sorted_over_its_files(spark, tmp_path):
     back = read_export(spark, folder, READINESS)
     assert sorted(back.collect(), key=str) == sorted(rows.select(back.columns).collect(), key=str)
     files = sorted((tmp_path / "export").glob("part-*.csv"))
-    lines = [line for f in files for line in f.read_text().splitlines() if not line.startswith("workspace_name,")]
-    keys = [(line.split('"')[1] if '"' in line else line.split(",")[7]) for line in lines]
+    lines = [line for f in files for line in csv.reader(f.open()) if line[0] != "workspace_name"]
+    keys = [line[7] for line in lines]
     assert len(lines) == 500 and keys == sorted(keys)
 
 
@@ -110,6 +139,36 @@ def test_scratch_comes_from_the_session(spark):
     assert stage(spark.range(3), folder).count() == 3
 
 
+def test_scratch_is_removed_also_after_a_failure(spark):
+    with pytest.raises(ValueError), scratch(spark) as folder:
+        stage(spark.range(3), folder)
+        raise ValueError
+    assert not os.path.exists(folder.removeprefix("file:"))
+
+
+def test_a_run_leaves_nothing_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    shared = str(tmp_path / "shared")
+    monkeypatch.setattr("shelflife.sources.store.shared_folder", lambda spark: shared)
+    daily.run_daily(landed(spark), Store(spark, str(tmp_path / "tables")), AS_OF)
+    broken = landed(spark)
+    broken.lake_tables = spark.range(1)
+    with pytest.raises(Exception):
+        daily.run_daily(broken, Store(spark, str(tmp_path / "tables")), AS_OF)
+    assert os.listdir(shared) == []
+
+
+def test_export_keeps_odd_texts(spark, tmp_path):
+    odd = ["two\nlines", "cr\r\nlf", ' padded ', "", None, 'say "x", y', "a,b", "\\", "\\n", '"', "null"]
+    rows = spark.createDataFrame([(str(i), v) for i, v in enumerate(odd)], "item_id string, item_name string")
+    for field in READINESS.fields:
+        if field.name not in rows.columns:
+            rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
+    folder = str(tmp_path / "export")
+    export_csv(rows, folder)
+    back = {int(r["item_id"]): r["item_name"] for r in read_export(spark, folder, READINESS).collect()}
+    assert [back[i] for i in range(len(odd))] == odd and len(back) == len(odd)
+
+
 def landed(spark):
     nothing = lambda: pages(spark, [], lakehouse_id=[])
     objects = "warehouse_id string, name string, type string, type_desc string, schema_id int, create_date timestamp_ntz, modify_date timestamp_ntz"
@@ -146,6 +205,7 @@ def test_summary_grows_by_the_new_days_and_recovers_from_a_lost_run(spark, tmp_p
             for d in days
         ]
         store.append_days(spark.createDataFrame(rows, schema), "raw")
+        finish_days(store, [date(2026, 3, d) for d in days])
         return [date(2026, 3, d) for d in days]
 
     read = []
@@ -164,7 +224,8 @@ def test_summary_grows_by_the_new_days_and_recovers_from_a_lost_run(spark, tmp_p
 
     check(add(1, 2), [], 2)
     check(add(3), [], 1)
-    check([], [], 0)
+    daily.update_summary(store, [], [])
+    assert not read
     add(4)
     check(add(5), [], 5)
     check(add(6), [date(2026, 3, 1)], 6)
