@@ -335,6 +335,14 @@ def event_activity() -> Column:
     )
 
 
+def _iso_week(column: str) -> Column:
+    """``2024-W03-2``: the year of the week's Thursday, the week and the day from Monday."""
+    day = F.weekday(column)
+    year = F.year(F.date_add(F.to_date(column), 3 - day))
+    week = F.lpad(F.weekofyear(column).cast("string"), 2, "0")
+    return F.concat(year.cast("string"), F.lit("-W"), week, F.lit("-"), (day + 1).cast("string"))
+
+
 def event_time_text() -> Column:
     """The event's time in many spellings; some are blank and some are no time."""
     kind, k = F.col("event_type"), F.col("k")
@@ -342,7 +350,11 @@ def event_time_text() -> Column:
     return (
         F.when(k == 13, F.lit(""))
         .when(k == 14, F.lit("not a time"))
+        .when((k == 16) & (kind == "click"), F.date_format("ts", "EEE, dd MMM yy HH:mm:ss 'GMT'"))
         .when(k == 16, F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss 'GMT'"))
+        .when(k == 20, F.date_format("ts", "yyyyMMdd'T'HHmmss.SSSSSS'Z'"))
+        .when(k == 21, F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSSSSS"))
+        .when(k == 22, F.concat(_iso_week("ts"), F.date_format("ts", "'T'HH:mm:ss.SSSSSS")))
         .when(kind == "click", F.concat(base, F.lit("Z")))
         .when(kind == "error", F.concat(base, F.lit("+05:00")))
         .when(kind == "purchase", F.concat(base, F.lit("7")))

@@ -34,7 +34,7 @@ INVENTORY = (
 )
 
 
-def scored(entries: str, extra: str = "") -> str:
+def scored(entries: str, extra: str = "", retention: str = RETENTION) -> str:
     """Inventory columns of dated entries."""
     return f"""
 SELECT workspace_name, workspace_id, workspace_type, item_name, item_id, item_type, description,
@@ -43,7 +43,7 @@ SELECT workspace_name, workspace_id, workspace_type, item_name, item_id, item_ty
        CAST(floor(date_diff('microsecond', ref, {AS_OF}) / 86400000000.0) AS INTEGER) AS age_days,
        days AS retention_period_days, CAST(ref + to_days(days) AS DATE) AS deletion_due_date,
        {AS_OF} > ref + to_days(days) AS is_overdue, {TODAY} AS scan_date{extra}
-FROM (SELECT *, coalesce(modified_ts, created_ts) AS ref, CAST({RETENTION} AS INTEGER) AS days FROM {entries})"""
+FROM (SELECT *, coalesce(modified_ts, created_ts) AS ref, CAST({retention} AS INTEGER) AS days FROM {entries})"""
 
 
 def deduped(rows: str, order: str) -> str:
@@ -132,9 +132,9 @@ SELECT e.*, CAST(ts AS DATE) AS event_date, c_name, n_name,
                        ELSE {guid(1, 'user_id')} END AS id_text,
        CASE k WHEN 18 THEN '' WHEN 19 THEN {guid(9, '0')}
               ELSE coalesce({guid(3, 'c_nationkey')}, '') END AS ws_id,
-       CASE WHEN k IN (13, 14, 16) THEN NULL WHEN event_type = 'signup' THEN date_trunc('second', ts)
+       CASE WHEN k IN (13, 14, 16) THEN NULL WHEN event_type = 'signup' AND k NOT IN (20, 21, 22) THEN date_trunc('second', ts)
             ELSE ts END AS iso_ts,
-       CASE WHEN k IN (13, 14) THEN NULL WHEN event_type = 'signup' OR k = 16 THEN date_trunc('second', ts)
+       CASE WHEN k IN (13, 14) THEN NULL WHEN event_type = 'signup' AND k NOT IN (20, 21, 22) OR k = 16 THEN date_trunc('second', ts)
             ELSE ts END AS any_ts,
        CASE WHEN k = 15 OR (k = 17 AND event_type = 'purchase') THEN NULL
             WHEN event_type = 'error' THEN {guid(2, 'user_id')} WHEN event_type = 'signup' THEN {guid(9, 'user_id')}
@@ -428,7 +428,7 @@ QUERIES = {
         AND NOT coalesce(item_type = 'LakehouseFile' AND contains(item_name, '/Files/Tables/'), false) GROUP BY 1""",
     "policy_table": "SELECT * FROM rules",
     "policy_override": """SELECT p.* REPLACE (coalesce(o.days, p.retention_days) AS retention_days) FROM rules p
-      LEFT JOIN (SELECT item_type, max(retention_period_days) * 2 AS days FROM inv WHERE age_days > 2500 GROUP BY 1) o USING (item_type)""",
+      LEFT JOIN (SELECT item_type, max(retention_period_days) * 2 AS days FROM inv WHERE age_days IS NOT NULL GROUP BY 1) o USING (item_type)""",
     "readiness_by_type": f"""SELECT item_type, {VERDICTS}, max(days_since_modified) AS max_days_inactive,
       CAST(trunc(avg(days_since_modified)) AS INTEGER) AS avg_days_inactive FROM report GROUP BY item_type""",
     "readiness_by_workspace": f"SELECT workspace_name, {VERDICTS} FROM report GROUP BY workspace_name",
@@ -444,6 +444,11 @@ QUERIES = {
       ORDER BY item_type NULLS FIRST, workspace_name, item_name, item_id LIMIT 100""",
     "readiness_undated": """SELECT workspace_name, item_name, item_type FROM report WHERE last_modified_date IS NULL
       ORDER BY item_type NULLS FIRST, workspace_name, item_name, item_id LIMIT 50""",
+    "readiness_all_overdue": """SELECT workspace_name, item_name, item_type, last_modified_date, date_source,
+      days_since_modified, retention_days, days_overdue FROM report WHERE exceeds_retention""",
+    "readiness_all_within": """SELECT workspace_name, item_name, item_type, last_modified_date, date_source,
+      days_since_modified, retention_days FROM report WHERE NOT exceeds_retention""",
+    "readiness_all_undated": "SELECT workspace_name, item_name, item_type FROM report WHERE last_modified_date IS NULL",
     # Activity.
     "events_normalized": "SELECT * FROM normalized",
     "collection_counters": """SELECT count(*) FILTER (ided) AS raw_events,
@@ -468,6 +473,9 @@ QUERIES = {
       WHERE event_date NOT IN (SELECT event_date FROM raw)""",
     "incremental_ingest": "SELECT * FROM normalized",
     "streamed_ingest": "SELECT * FROM normalized",
+    "streamed_ingest_three_runs": "SELECT * FROM normalized",
+    "ingest_after_crash": "SELECT * FROM normalized",
+    "ingest_reset": "SELECT * FROM normalized",
     "name_backfill": "SELECT * FROM backfilled",
     "backfill_accounting": """SELECT b AS blank_before, a AS blank_after, b - a AS fixed FROM
       (SELECT count(*) AS b FROM raw WHERE workspace_id <> '' AND coalesce(workspace_name, '') = '') x,
@@ -482,6 +490,8 @@ QUERIES = {
       max(last_modified_date) AS most_recent_modification FROM summ GROUP BY 1""",
     "activity_distribution": """SELECT activity, count(*) AS event_count, count(DISTINCT artifact_id) AS unique_items
       FROM raw GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
+    "activity_distribution_all": """SELECT activity, count(*) AS event_count, count(DISTINCT artifact_id) AS unique_items
+      FROM raw GROUP BY 1""",
     "daily_volume": """SELECT event_date, count(*) AS events, count(DISTINCT artifact_id) AS unique_items FROM raw GROUP BY 1""",
     "rows_per_collection": "SELECT collection_date, count(*) AS row_count FROM raw GROUP BY 1",
     "latest_collection": """SELECT event_date, collection_date, activity, artifact_name, workspace_name FROM raw
@@ -507,6 +517,9 @@ QUERIES = {
     "date_lookup": "SELECT * FROM lookup",
     "catalog_items": f"SELECT {INVENTORY} FROM catalogued",
     "scored_inventory": "SELECT * FROM inv",
+    "scored_default_policy": scored(
+        "inv_entries", retention="CASE WHEN item_type IN ('Report', 'SemanticModel') THEN 20 ELSE 2 END"
+    ),
     "workspace_derived": f"SELECT {INVENTORY} FROM derived_rows",
     "inventory_deduped": deduped("inv_rows", "producer, o1, o2, o3"),
     "lake_tables_by_path": "SELECT lakehouse_id, name, modified_ts FROM path_tables",
@@ -538,6 +551,9 @@ QUERIES = {
     # Sinks and the whole job.
     "snapshot_roundtrip": deduped("inv_rows", "producer, o1, o2, o3"),
     "export_report": "SELECT * FROM ready",
+    "export_roundtrip": """SELECT * REPLACE (CASE coalesce(days_since_modified, 0) % 6
+      WHEN 1 THEN item_name || chr(10) || 'second line' WHEN 2 THEN 'say "' || item_name || '", ok'
+      WHEN 3 THEN '  ' || item_name || ' ' WHEN 4 THEN '' WHEN 5 THEN NULL ELSE item_name END AS item_name) FROM ready""",
     "full_inventory": "SELECT * FROM built",
     "full_run": readiness("full_report"),
 }

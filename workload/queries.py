@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,7 +61,7 @@ def readiness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def policy_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Double the days of every type that has dated items in the inventory."""
-    dated = inputs.inventory_table(spark, sf_dir).where(F.col("age_days") > 2500)
+    dated = inputs.inventory_table(spark, sf_dir).where(F.col("age_days").isNotNull())
     longer = dated.groupBy("item_type").agg(
         (F.max("retention_period_days") * 2).alias("retention_days")
     )
@@ -123,11 +124,56 @@ def streamed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, folder)
     ingest_stream(
         spark, f"{folder}/landing", _names(spark, sf_dir), store, AS_OF,
-        checkpoint=f"{folder}/progress", lookback_days=60,
+        checkpoint=f"{folder}/progress",
     )
     return conform(store.load("raw"), EVENTS)
 
 
+def streamed_ingest_three_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs on three days, each while files of its own day are still coming."""
+    folder = scratch_folder(spark)
+    pages = inputs.event_pages(spark, sf_dir)
+    early = F.pmod(F.xxhash64("page"), F.lit(2)) == 0
+    store, names = Store(spark, folder), stage(_names(spark, sf_dir), f"{folder}/names")
+    since = None
+    for today in (date(2024, 1, 10), date(2024, 1, 20), AS_OF.date()):
+        older = F.col("event_date") < F.lit(today)
+        landing = older | ((F.col("event_date") == F.lit(today)) & early)
+        if since:
+            landing = landing & (
+                (F.col("event_date") > F.lit(since)) | ((F.col("event_date") == F.lit(since)) & ~early)
+            )
+        files = pages.where(landing).select(F.col("page").alias("value"), "event_date")
+        files.write.mode("append").partitionBy("event_date").text(f"{folder}/landing")
+        ingest_stream(
+            spark, f"{folder}/landing", names, store, datetime.combine(today, time(12)),
+            checkpoint=f"{folder}/progress",
+        )
+        since = today
+    # One run more than a day after the last file, so that nothing is still open.
+    return conform(store.load("raw"), EVENTS).withColumn("collection_date", times.on(AS_OF))
+
+
+def ingest_after_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that broke off left half the rows of some days; the next run replaces them."""
+    store = Store(spark, scratch_folder(spark))
+    pages, names = inputs.event_pages(spark, sf_dir), _names(spark, sf_dir)
+    rows = activity.normalize_events(pages, names, AS_OF)
+    half = (F.pmod(F.xxhash64("artifact_id"), F.lit(2)) == 0) & (F.col("event_date") < "2024-01-16")
+    store.append_days(rows.where(half), "raw")
+    ingest_days(pages, names, store, AS_OF, lookback_days=60)
+    return conform(store.load("raw"), EVENTS)
+
+
+def ingest_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collect some days, then everything again from the start."""
+    store = Store(spark, scratch_folder(spark))
+    pages, names = inputs.event_pages(spark, sf_dir), _names(spark, sf_dir)
+    ingest_days(pages.where(F.col("event_date") < "2024-01-10"), names, store, AS_OF, lookback_days=60)
+    ingest_days(pages, names, store, AS_OF, lookback_days=60, reset=True)
+    return conform(store.load("raw"), EVENTS)
+
+
 def name_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.backfill_names(inputs.raw_events(spark, sf_dir), _names(spark, sf_dir))
 
@@ -243,6 +289,29 @@ def export_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_export(spark, folder, READINESS)
 
 
+def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export read back, with names that hold breaks, quotes, outer spaces or nothing."""
+    folder = scratch_folder(spark)
+    days = F.coalesce(F.col("days_since_modified"), F.lit(0)) % 6
+    name = F.col("item_name")
+    odd = (
+        F.when(days == 1, F.concat(name, F.lit("\nsecond line")))
+        .when(days == 2, F.concat(F.lit('say "'), name, F.lit('", ok')))
+        .when(days == 3, F.concat(F.lit("  "), name, F.lit(" ")))
+        .when(days == 4, F.lit(""))
+        .when(days == 5, F.lit(None))
+        .otherwise(name)
+    )
+    export_csv(readiness_report(spark, sf_dir).withColumn("item_name", odd), folder)
+    return read_export(spark, folder, READINESS)
+
+
+def scored_default_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shipped policy under a default of two days."""
+    rows = inventory.scored(inputs.inventory_entries(spark, sf_dir), AS_OF, default_days=2)
+    return rows.drop("seq")
+
+
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily job from landed payloads to the readiness table."""
     store = Store(spark, scratch_folder(spark))
@@ -277,9 +346,14 @@ QUERIES: dict[str, Query] = {
     "readiness_top_overdue": _over(_report, adhoc.exceeding_items, 100),
     "readiness_within": _over(_report, adhoc.within_items, 100),
     "readiness_undated": _over(_report, adhoc.unassessable_items, 50),
+    "readiness_all_overdue": _over(_report, adhoc.exceeding_items),
+    "readiness_all_within": _over(_report, adhoc.within_items),
+    "readiness_all_undated": _over(_report, adhoc.unassessable_items),
     # Activity.
     "events_normalized": events_normalized,
-    "collection_counters": _over(inputs.event_pages, activity.collection_counters),
+    "collection_counters": lambda spark, sf_dir: activity.collection_counters(
+        inputs.event_pages(spark, sf_dir), _names(spark, sf_dir)
+    ),
     "lookup_counters": _over(inputs.event_pages, activity.lookup_counters),
     "guid_extract": guid_extract,
     "time_parse_iso": time_parse_iso,
@@ -287,6 +361,9 @@ QUERIES: dict[str, Query] = {
     "missing_days": missing_days,
     "incremental_ingest": incremental_ingest,
     "streamed_ingest": streamed_ingest,
+    "streamed_ingest_three_runs": streamed_ingest_three_runs,
+    "ingest_after_crash": ingest_after_crash,
+    "ingest_reset": ingest_reset,
     "name_backfill": name_backfill,
     "backfill_accounting": backfill_accounting,
     "activity_summary": _summary,
@@ -295,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "activity_by_type": _over(stored_summary, reports.activity_by_type),
     "activity_by_workspace": _over(stored_summary, reports.activity_by_workspace),
     "activity_distribution": _over(inputs.raw_events, reports.activity_distribution, 15),
+    "activity_distribution_all": _over(inputs.raw_events, reports.activity_distribution),
     "daily_volume": _over(inputs.raw_events, reports.daily_volume),
     "rows_per_collection": _over(inputs.raw_events, reports.rows_per_collection),
     "latest_collection": _over(inputs.raw_events, adhoc.latest_collection),
@@ -320,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "date_lookup": date_lookup,
     "catalog_items": lambda spark, sf_dir: _catalogued(spark, sf_dir).drop("seq"),
     "scored_inventory": inputs.inventory_table,
+    "scored_default_policy": scored_default_policy,
     "workspace_derived": workspace_derived,
     "inventory_deduped": _over(inputs.scored_entries, inventory.dedupe_inventory),
     "lake_tables_by_path": lambda spark, sf_dir: discovery.discovered_tables(
@@ -346,6 +425,7 @@ QUERIES: dict[str, Query] = {
     # Sinks and the whole job.
     "snapshot_roundtrip": snapshot_roundtrip,
     "export_report": export_report,
+    "export_roundtrip": export_roundtrip,
     "full_inventory": full_inventory,
     "full_run": full_run,
 }
