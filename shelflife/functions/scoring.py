@@ -74,9 +74,7 @@ def readiness_columns(rows: DataFrame, as_of: datetime) -> DataFrame:
     measured = dated.withColumn(
         "days_since_modified", F.datediff(times.on(as_of), F.col("last_modified_date"))
     )
-    flagged = measured.withColumn(
-        "exceeds_retention", F.col("days_since_modified") > F.col("retention_days")
-    )
+    flagged = with_verdict(measured)
     over = F.col("days_since_modified") - F.col("retention_days")
     return flagged.withColumns(
         {
@@ -86,6 +84,12 @@ def readiness_columns(rows: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
+def with_verdict(rows: DataFrame) -> DataFrame:
+    """``exceeds_retention`` by calendar days; null where a date or a period is missing."""
+    exceeds = F.col("days_since_modified") > F.col("retention_days")
+    return rows.withColumn("exceeds_retention", exceeds)
+
+
 def status(reference_date: Column, exceeds: Column) -> Column:
     return (
         F.when(reference_date.isNull(), fixed.STATUS_NO_DATE)

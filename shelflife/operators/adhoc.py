@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelflife.functions import fixed, times
+from shelflife.functions.scoring import with_verdict
 from shelflife.operators.reports import top
 
 ITEM = ["workspace_name", "item_type", "item_name", "item_id"]
@@ -127,7 +128,7 @@ def status_contains(readiness: DataFrame, word: str = "EXCEEDS") -> DataFrame:
 
 
 def exceeding_items(report: DataFrame, limit: int | None = None) -> DataFrame:
-    rows = report.where(F.col("exceeds_retention"))
+    rows = with_verdict(report).where(F.col("exceeds_retention"))
     ordered = top(rows, F.desc("days_overdue"), *ITEM, limit=limit)
     return ordered.select(
         "workspace_name", "item_name", "item_type", "last_modified_date", "date_source",
@@ -136,7 +137,7 @@ def exceeding_items(report: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def within_items(report: DataFrame, limit: int | None = None) -> DataFrame:
-    rows = report.where(~F.col("exceeds_retention"))
+    rows = with_verdict(report).where(~F.col("exceeds_retention"))
     ordered = top(rows, "item_type", "workspace_name", "item_name", "item_id", limit=limit)
     return ordered.select(
         "workspace_name", "item_name", "item_type", "last_modified_date", "date_source",

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelflife.functions import fixed
+from shelflife.functions.scoring import with_verdict
 
 
 def top(rows: DataFrame, *order: Column | str, limit: int | None = None) -> DataFrame:
@@ -36,7 +37,7 @@ def count_by_source(rows: DataFrame) -> DataFrame:
     return top(counts, F.desc("items"), "date_source")
 
 
-# Readiness: verdicts are zero-filled.
+# Readiness, from the stored report or the assessed one: verdicts are zero-filled.
 
 
 def _verdicts() -> list[Column]:
@@ -50,11 +51,11 @@ def _verdicts() -> list[Column]:
 
 def readiness_headline(report: DataFrame) -> DataFrame:
     """All headline counts in one pass."""
-    return report.agg(*_verdicts())
+    return with_verdict(report).agg(*_verdicts())
 
 
 def readiness_by_type(report: DataFrame, limit: int | None = None) -> DataFrame:
-    grouped = report.groupBy("item_type").agg(
+    grouped = with_verdict(report).groupBy("item_type").agg(
         *_verdicts(),
         F.max("days_since_modified").alias("max_days_inactive"),
         _whole_average("days_since_modified").alias("avg_days_inactive"),
@@ -63,7 +64,7 @@ def readiness_by_type(report: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def readiness_by_workspace(report: DataFrame, limit: int | None = None) -> DataFrame:
-    grouped = report.groupBy("workspace_name").agg(*_verdicts())
+    grouped = with_verdict(report).groupBy("workspace_name").agg(*_verdicts())
     return top(grouped, F.desc("overdue"), "workspace_name", limit=limit)
 
 

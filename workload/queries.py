@@ -51,14 +51,16 @@ def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
     )
 
 
-def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readiness.assess(*_tables(spark, sf_dir), AS_OF)
-
-
 def readiness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readiness.readiness(*_tables(spark, sf_dir), AS_OF)
 
 
+@inputs.stored
+def stored_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored report, from which its summaries are made."""
+    return readiness_report(spark, sf_dir)
+
+
 def policy_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Double the days of every type that has dated items in the inventory."""
     dated = inputs.inventory_table(spark, sf_dir).where(F.col("age_days").isNotNull())
@@ -337,18 +339,18 @@ QUERIES: dict[str, Query] = {
     "policy_types": _over(inputs.inventory_table, readiness.discover_types),
     "policy_table": policy_table,
     "policy_override": policy_override,
-    "readiness_by_type": _over(_report, reports.readiness_by_type),
-    "readiness_by_workspace": _over(_report, reports.readiness_by_workspace),
-    "readiness_headline": _over(_report, reports.readiness_headline),
-    "readiness_by_source": _over(readiness_report, reports.count_by_source),
-    "readiness_status_like": _over(readiness_report, adhoc.status_contains),
-    "readiness_most_overdue": _over(readiness_report, adhoc.most_overdue_first),
-    "readiness_top_overdue": _over(_report, adhoc.exceeding_items, 100),
-    "readiness_within": _over(_report, adhoc.within_items, 100),
-    "readiness_undated": _over(_report, adhoc.unassessable_items, 50),
-    "readiness_all_overdue": _over(_report, adhoc.exceeding_items),
-    "readiness_all_within": _over(_report, adhoc.within_items),
-    "readiness_all_undated": _over(_report, adhoc.unassessable_items),
+    "readiness_by_type": _over(stored_readiness, reports.readiness_by_type),
+    "readiness_by_workspace": _over(stored_readiness, reports.readiness_by_workspace),
+    "readiness_headline": _over(stored_readiness, reports.readiness_headline),
+    "readiness_by_source": _over(stored_readiness, reports.count_by_source),
+    "readiness_status_like": _over(stored_readiness, adhoc.status_contains),
+    "readiness_most_overdue": _over(stored_readiness, adhoc.most_overdue_first),
+    "readiness_top_overdue": _over(stored_readiness, adhoc.exceeding_items, 100),
+    "readiness_within": _over(stored_readiness, adhoc.within_items, 100),
+    "readiness_undated": _over(stored_readiness, adhoc.unassessable_items, 50),
+    "readiness_all_overdue": _over(stored_readiness, adhoc.exceeding_items),
+    "readiness_all_within": _over(stored_readiness, adhoc.within_items),
+    "readiness_all_undated": _over(stored_readiness, adhoc.unassessable_items),
     # Activity.
     "events_normalized": events_normalized,
     "collection_counters": lambda spark, sf_dir: activity.collection_counters(
