@@ -451,6 +451,12 @@ QUERIES = {
     "readiness_all_undated": "SELECT workspace_name, item_name, item_type FROM report WHERE last_modified_date IS NULL",
     # Activity.
     "events_normalized": "SELECT * FROM normalized",
+    "events_unmasked": f"""SELECT event_date, iso_ts AS event_timestamp, act AS activity, found_id AS artifact_id,
+      coalesce(c_name, '') AS artifact_name, kind AS artifact_type, ws_id AS workspace_id,
+      coalesce(nullif(CASE WHEN k >= 30 THEN n_name END, ''), l.workspace_name, 'My workspace (' || user_id || ')') AS workspace_name,
+      CAST(user_id AS VARCHAR) AS user_id, {TODAY} AS collection_date
+      FROM ev LEFT JOIN names l ON l.workspace_id = ws_id
+      WHERE found_id IS NOT NULL AND iso_ts IS NOT NULL AND event_type <> 'view'""",
     "collection_counters": """SELECT count(*) FILTER (ided) AS raw_events,
       count(*) FILTER (ided AND event_type = 'view') AS read_only_excluded,
       count(*) FILTER (ided AND event_type <> 'view' AND iso_ts IS NOT NULL) AS kept,
@@ -468,6 +474,9 @@ QUERIES = {
     "guid_extract": "SELECT event_id, CASE WHEN k <> 17 THEN id_text END AS guid FROM ev",
     "time_parse_iso": "SELECT event_id, iso_ts AS parsed FROM ev",
     "time_parse_mail": "SELECT event_id, any_ts AS parsed FROM ev",
+    "missing_days_with_today": f"""SELECT event_date FROM (
+      SELECT CAST(unnest(generate_series({TODAY} - 28, {TODAY}, INTERVAL 1 DAY)) AS DATE) AS event_date)
+      WHERE event_date NOT IN (SELECT event_date FROM raw)""",
     "missing_days": f"""SELECT event_date FROM (
       SELECT CAST(unnest(generate_series({TODAY} - 28, {TODAY} - 1, INTERVAL 1 DAY)) AS DATE) AS event_date)
       WHERE event_date NOT IN (SELECT event_date FROM raw)""",
@@ -477,6 +486,9 @@ QUERIES = {
     "ingest_after_crash": "SELECT * FROM normalized",
     "ingest_reset": "SELECT * FROM normalized",
     "name_backfill": "SELECT * FROM backfilled",
+    "name_backfill_unmasked": """SELECT * REPLACE (CASE WHEN coalesce(workspace_name, '') = '' AND coalesce(user_id, '') <> ''
+      AND EXISTS (SELECT 1 FROM matched WHERE workspace_id <> '' AND coalesce(workspace_name, '') = '')
+      THEN 'My workspace (' || user_id || ')' ELSE workspace_name END AS workspace_name) FROM matched""",
     "backfill_accounting": """SELECT b AS blank_before, a AS blank_after, b - a AS fixed FROM
       (SELECT count(*) AS b FROM raw WHERE workspace_id <> '' AND coalesce(workspace_name, '') = '') x,
       (SELECT count(*) AS a FROM backfilled WHERE workspace_id <> '' AND coalesce(workspace_name, '') = '') y""",

@@ -85,6 +85,21 @@ def events_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.normalize_events(pages, _names(spark, sf_dir), AS_OF)
 
 
+def events_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of personal workspaces that no listing names carry their user's name."""
+    pages = inputs.event_pages(spark, sf_dir)
+    return activity.normalize_events(pages, _names(spark, sf_dir), AS_OF, mask_personal=False)
+
+
+def backfill_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = inputs.raw_events(spark, sf_dir)
+    return activity.backfill_names(raw, _names(spark, sf_dir), mask_personal=False)
+
+
+def missing_days_with_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity.missing_days(inputs.raw_events(spark, sf_dir), AS_OF, include_today=True)
+
+
 def guid_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.event_urls(spark, sf_dir).select(
         "event_id", text.last_guid(F.col("url")).alias("guid")
@@ -353,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "readiness_all_undated": _over(stored_readiness, adhoc.unassessable_items),
     # Activity.
     "events_normalized": events_normalized,
+    "events_unmasked": events_unmasked,
     "collection_counters": lambda spark, sf_dir: activity.collection_counters(
         inputs.event_pages(spark, sf_dir), _names(spark, sf_dir)
     ),
@@ -361,12 +377,14 @@ QUERIES: dict[str, Query] = {
     "time_parse_iso": time_parse_iso,
     "time_parse_mail": time_parse_mail,
     "missing_days": missing_days,
+    "missing_days_with_today": missing_days_with_today,
     "incremental_ingest": incremental_ingest,
     "streamed_ingest": streamed_ingest,
     "streamed_ingest_three_runs": streamed_ingest_three_runs,
     "ingest_after_crash": ingest_after_crash,
     "ingest_reset": ingest_reset,
     "name_backfill": name_backfill,
+    "name_backfill_unmasked": backfill_unmasked,
     "backfill_accounting": backfill_accounting,
     "activity_summary": _summary,
     "summary_incremental": summary_incremental,
