@@ -44,7 +44,8 @@ from shelflife.llm.suffix import common_prefixes, suffix_array
 LENGTH = 50
 GRAM = 16
 SHARD_BYTES = 4 * 1024 * 1024
-POSITIONS = 1 << 20
+BUCKETS = 2  # per shard
+POSITIONS = 1 << 19
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -75,7 +76,8 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     last = fits.copy()
     last[:-1] &= (at[1:] != at[:-1]) | ~fits[1:]
     first = np.flatnonzero(new)
-    return first, np.flatnonzero(last), grams[at[first]]
+    # The smallest of many hashes is a small number: mixed again, they fill the buckets alike.
+    return first, np.flatnonzero(last), mixed(~grams[at[first]])
 
 
 class Shard:
@@ -431,6 +433,7 @@ def without_repeats(
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n = total // shard_bytes + 1
     texts = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(n))).groupBy("shard")
+    n *= BUCKETS
     hashes = texts.applyInArrow(lambda t: send_hashes(t, n), _SENT_SQL)
     marked = hashes.groupBy("bucket").applyInArrow(answer_hashes, _SENT_SQL)
     pieces = texts.cogroup(marked.groupBy("shard")).applyInArrow(
