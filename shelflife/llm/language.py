@@ -35,9 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from shelflife.llm.shared import lowered, ship, span_hashes, spans_of, text_parts
+from shelflife.llm.shared import by_hash, lowered, ship, span_hashes, spans_of, text_parts
 
 SAMPLE_DOCS = 600  # per language
 WINDOW_WORDS = 96
@@ -319,22 +318,17 @@ def train(
     cells = rows.select("text", "lang").mapInArrow(
         lambda batches: _count_words(batches, langs), "cell bigint, n bigint"
     )
-    total = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    total = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS * len(langs))
-    counts[total["cell"].to_numpy(np.int64)] = total["n"].to_numpy(np.float64)
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        rows.select("id", "lang")
-        .withColumn("n", F.row_number().over(by_hash))
-        .where(F.col("n") <= sample_docs)
-        .select("id", "lang")
-    )
+    counts[total["cell"].to_numpy()] = total["n"].to_numpy()
+    chosen = by_hash(rows.select("id", "lang"), "id", "lang", sample_docs)
     chosen = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi")
     chosen = chosen.select("id", "text", "lang")
-    sample = chosen.mapInArrow(_sample, chosen.schema).toPandas()
-    sample = sample.assign(key=[span_key(i) for i in sample["id"]]).sort_values(["key", "id", "text"])
-    labels = np.array([langs.index(x) for x in sample["lang"]], np.int64)
-    model = fit(list(sample["text"]), labels, counts.reshape(SLOTS, len(langs)))
+    sample = chosen.mapInArrow(_sample, chosen.schema).toArrow().to_pylist()
+    sample.sort(key=lambda r: (span_key(r["id"]), r["id"], r["text"]))
+    labels = np.array([langs.index(r["lang"]) for r in sample], np.int64)
+    texts = [r["text"] for r in sample]
+    model = fit(texts, labels, counts.reshape(SLOTS, len(langs)))
     model.langs = langs
     return model
 

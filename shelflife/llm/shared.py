@@ -18,6 +18,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 PART_BYTES = 1 << 19
 
@@ -47,6 +49,19 @@ def run_folder(spark: SparkSession) -> str:
     return folder
 
 
+def by_hash(rows: DataFrame, id_col: str, group_col: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each group, those whose id hashes lowest; ties by id.
+
+    A hash threshold from the group's size leaves a few times as many before they are
+    ranked, so a large group does not meet in one task.
+    """
+    sizes = rows.groupBy(group_col).agg(F.count("*").alias("_n"))
+    draw = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / F.lit(1 << 30)
+    drawn = rows.join(F.broadcast(sizes), group_col).where(draw * F.col("_n") < F.lit(4 * most + 100))
+    rank = F.row_number().over(Window.partitionBy(group_col).orderBy(draw, id_col))
+    return drawn.withColumn("_r", rank).where(F.col("_r") <= most).drop("_n", "_r")
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's code to the Python workers, once per application."""
     key = spark.sparkContext.applicationId

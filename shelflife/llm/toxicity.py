@@ -34,9 +34,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from shelflife.llm.shared import lists, lowered, ship, span_hashes, spans_of, text_parts
+from shelflife.llm.shared import by_hash, lists, lowered, ship, span_hashes, spans_of, text_parts
 
 SAMPLE_DOCS = 2_500
 SAMPLE_BYTES = 8_192
@@ -243,8 +242,7 @@ def train(
     last = F.element_at("labels", -1)
     ids = rows.select("id").join(known, "id").withColumn("last", last)
     sizes = {r["last"]: r["n"] for r in ids.groupBy("last").agg(F.count("*").alias("n")).collect()}
-    by_hash = Window.partitionBy("last").orderBy(F.xxhash64("id"), "id")
-    chosen = ids.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= sample_docs)
+    chosen = by_hash(ids, "id", "last", sample_docs)
     chosen = chosen.select("id", "labels").distinct()
     sample = rows.join(F.broadcast(chosen), "id").select("id", "labels", "text")
     schema = sample.select("id", "labels", F.lit(None).cast("array<bigint>").alias("hashes")).schema
