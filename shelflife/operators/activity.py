@@ -144,13 +144,13 @@ def backfill_names(raw: DataFrame, workspace_names: DataFrame, mask_personal: bo
     named = lookup.where(~text.is_blank(F.col("lookup_name"))).select("workspace_id")
     unresolved = unnamed.join(named, "workspace_id", "left_anti").limit(1)
     label_needed = unresolved.agg((F.count("*") > 0).alias("needed")).scalar()
-    label = F.lit(fixed.PERSONAL_LABEL)
+    label, can_label = F.lit(fixed.PERSONAL_LABEL), blank
     if not mask_personal:
         label = text.personal_label(F.col("user_id"), masked=False)
-        blank = blank & ~text.is_blank(F.col("user_id"))
+        can_label = blank & ~text.is_blank(F.col("user_id"))
     labelled = filled.withColumn(
         "workspace_name",
-        F.when(blank & label_needed, label).otherwise(F.col("workspace_name")),
+        F.when(can_label & label_needed, label).otherwise(F.col("workspace_name")),
     )
     return raw.where(~blank).unionByName(labelled)
 

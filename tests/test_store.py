@@ -164,7 +164,7 @@ def test_export_keeps_odd_texts(spark, tmp_path):
         if field.name not in rows.columns:
             rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
     folder = str(tmp_path / "export")
-    export_csv(rows, folder)
+    export_csv(rows.select(READINESS.fieldNames()), folder)
     back = {int(r["item_id"]): r["item_name"] for r in read_export(spark, folder, READINESS).collect()}
     assert [back[i] for i in range(len(odd))] == odd and len(back) == len(odd)
 
