@@ -256,7 +256,7 @@ def least_ids(flat: np.ndarray, starts: np.ndarray, stops: np.ndarray, ids: np.n
         a, b = starts[lo:hi] - base, stops[lo:hi] - base
         ends = np.repeat(b, b - a)
         order = suffix_array(text, ends)
-        shared = common_prefixes(text, a, b, order)
+        shared = common_prefixes(text, a, b, order, least=LENGTH)
         new = shared < LENGTH
         new[:1] = True
         own = np.repeat(ids[lo:hi], b - a)[order]

@@ -69,9 +69,13 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return sort_keys(group.astype(np.uint64))
 
 
-def common_prefixes(text: np.ndarray, starts: np.ndarray, stops: np.ndarray, order: np.ndarray) -> np.ndarray:
+def common_prefixes(
+    text: np.ndarray, starts: np.ndarray, stops: np.ndarray, order: np.ndarray, least: int = 1
+) -> np.ndarray:
     """Length shared by each suffix of the order with the one before it (0 for the first).
 
+    Suffixes shorter than ``least`` are passed over, with 0.
+
     Kasai's walk, all pieces abreast: the prefix that a suffix shares with its
     predecessor is at most one byte shorter for the suffix one byte later.
     """
@@ -82,8 +86,8 @@ def common_prefixes(text: np.ndarray, starts: np.ndarray, stops: np.ndarray, ord
     shared = np.zeros(n, np.int64)
     length = np.zeros(len(starts), np.int64)
     lanes = np.arange(len(starts))
-    for step in range(int((stops - starts).max(initial=0))):
-        lanes = lanes[starts[lanes] + step < stops[lanes]]
+    for step in range(int((stops - starts).max(initial=0)) - least + 1):
+        lanes = lanes[starts[lanes] + step + least <= stops[lanes]]
         i = starts[lanes] + step
         before = rank[i] - 1
         j = order[np.maximum(before, 0)]

@@ -34,6 +34,8 @@ def test_suffix_array_and_common_prefixes(letters):
         for (a, _, _), (b, _, _) in zip(suffixes, suffixes[1:], strict=False):
             want.append(next((i for i in range(min(len(a), len(b))) if a[i] != b[i]), min(len(a), len(b))))
         assert common_prefixes(text, starts, stops, order).tolist() == want
+        long = [n if len(s[0]) >= 9 else 0 for n, s in zip(want, suffixes, strict=True)]
+        assert common_prefixes(text, starts, stops, order, least=9).tolist() == long
 
 
 def by_hand(docs):
