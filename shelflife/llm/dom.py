@@ -37,22 +37,35 @@ _P_SCOPE = frozenset({"td", "th", "table", "button", "caption", "html", "body"})
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "kids")
+    __slots__ = ("tag", "attributes", "kids", "weight")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag = tag
         self.attributes = attributes  # as written; read on demand
         self.kids: list[Node | str] = []
+        self.weight: tuple[int, int, int] | None = None  # see wrapper.measure
 
-    def names(self) -> set[str]:
-        """Words of class, id and role."""
+    def tokens(self) -> set[str]:
+        """Whole names of class, id and role."""
         found: set[str] = set()
         if self.attributes:
             for name, *values in _ATTRIBUTE.findall(self.attributes):
                 if name.lower() in ("class", "id", "role"):
-                    found.update(re.findall(r"[a-z]+|\d+", unescape("".join(values)).lower()))
+                    found.update(unescape("".join(values)).lower().split())
+        return found
+
+    def roles(self) -> set[str]:
+        """Roles as written."""
+        found: set[str] = set()
+        for name, *values in _ATTRIBUTE.findall(self.attributes):
+            if name.lower() == "role":
+                found.update(unescape("".join(values)).lower().split())
         return found
 
+    def words(self) -> set[str]:
+        """Words of class, id and role."""
+        return {word for token in self.tokens() for word in re.findall(r"[a-z]+|\d+", token)}
+
     def key(self) -> str:
         """Tag and classes: what makes two nodes of two pages alike."""
         if not self.attributes:

@@ -8,10 +8,12 @@ the reference is matched and how often its text is the reference's; a node whose
 stays the same on nearly all pages is template, one whose text varies is a slot.
 
 The article is the text of the page's article or main element, or, without one, of
-all slots of the page.  Containers that name themselves as something else (menus,
-footers, sidebars, adverts, forms, comments, ...) are left out, as are template nodes,
-unless that would leave nothing, as on a host of copies.  Headings and paragraphs of
-an article are never taken for template.
+all slots of the page; a main element around articles is read as a whole.  Containers
+that name themselves as something else (menus, footers, sidebars, adverts, forms,
+comments, ...) are left out unless they hold the article, as are template nodes,
+unless that would leave nothing, as on a host of copies.  A name counts as a whole: one
+that has such a word among others only goes if it is template or links.  Headings and
+paragraphs of an article are never taken for template.
 
 No group of pages is gathered: a host's reference is a minimum, its counts are summed
 in the tasks before they are shuffled, and both are joined to the pages as small
@@ -27,6 +29,7 @@ repeated rows are reported each time; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -55,21 +58,150 @@ OTHER_NAMES = frozenset(
     "sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 HEADER_NAMES = frozenset("header masthead topbar".split())
+COMMENT_NAMES = frozenset("comment comments disqus".split())
+#: Words that only say what a box looks like: beside one of the above they change nothing.
+BOX_NAMES = frozenset(
+    "area bar block bottom box button buttons container global group icons inner item items left "
+    "list main mobile outer primary right secondary site thread top wrap wrapper".split()
+)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
+#: Elements that may hold a whole page all the same.
+LAYOUT = frozenset("form fieldset".split())
+LINKS = 2 / 3  # of the text of a box with an ambiguous name in links: not an article's
+
+
+def says(tokens: set[str], words: frozenset[str]) -> str:
+    """Whether a name means one of the words as a "whole", only in "part" of it, or not ("")."""
+    found = ""
+    for token in tokens:
+        own = set(re.findall(r"[a-z]+", token))
+        if own & words:
+            if own <= OTHER_NAMES | HEADER_NAMES | BOX_NAMES:
+                return "whole"
+            found = "part"
+    return found
+
+
+def is_comment(node: Node) -> bool:
+    return says(node.tokens(), COMMENT_NAMES) == "whole"
 
 
 def is_other(node: Node, in_article: bool) -> bool:
+    """Whether a node is named as something else than the article.
+
+    A name that has such a word among others, as in "has-sidebar", is ambiguous: what is
+    constant on the host goes as template, and what is nearly all links goes here.
+    """
     if node.tag in OTHER or (node.tag == "header" and not in_article):
         return True
     if not node.attributes or node.tag in ("article", "main", "body", "html"):
         # An article may be named for what it is about, but not be a comment.
-        return node.tag == "article" and bool(node.names() & {"comment", "comments"})
-    names = node.names()
-    return bool(names & OTHER_NAMES) or (not in_article and bool(names & HEADER_NAMES))
+        return node.tag == "article" and is_comment(node)
+    if in_article and node.tag in HEADINGS:
+        return False
+    named = says(node.tokens(), OTHER_NAMES if in_article else OTHER_NAMES | HEADER_NAMES)
+    if named == "part":
+        size, linked, links = measure(node)
+        return links > 1 and linked >= LINKS * size
+    return bool(named)
+
 
+def measure(top: Node) -> tuple[int, int, int]:
+    """Characters other than white space, those of them in links, and the number of links.
 
-def blocks(nodes: list[Node], skip=None) -> list[str]:
-    """The text of the nodes, block by block, without markup and other containers."""
+    Kept with every node of the subtree, so all nodes of a page cost one walk.
+    """
+    work = [(top, False)]
+    while work:
+        node, seen = work.pop()
+        if node.weight is not None:
+            continue
+        if node.tag in RAW:
+            node.weight = 0, 0, 0
+        elif not seen:
+            work.append((node, True))
+            work.extend((kid, False) for kid in node.kids if isinstance(kid, Node))
+        else:
+            size = linked = links = 0
+            for kid in node.kids:
+                if isinstance(kid, str):
+                    size += sum(map(len, kid.split()))
+                else:
+                    n, m, k = kid.weight
+                    size, linked, links = size + n, linked + m, links + k
+            node.weight = (size, size, links + 1) if node.tag == "a" else (size, linked, links)
+    return top.weight
+
+
+def plain(node: Node) -> int:
+    """Characters outside links."""
+    size, linked, _ = measure(node)
+    return size - linked
+
+
+def opened(page: Node) -> set[int]:
+    """Ids of the nodes that are named as something else but hold the article.
+
+    That are forms and named boxes with most of the page's text outside links; and, where no article
+    or main element is left otherwise, whatever holds the main element, or the largest
+    article if that is larger than all the text that is left.
+    """
+    ids: set[int] = set()
+    closed: list[tuple[Node, tuple[Node, ...]]] = []
+    work = [(page, False)]
+    while work:
+        node, inside = work.pop()
+        inside = inside or node.tag == "article" or is_main(node)
+        for kid in node.kids:
+            if not isinstance(kid, Node) or kid.tag in RAW:
+                continue
+            if not is_other(kid, inside):
+                work.append((kid, inside))
+            elif (
+                (kid.tag not in OTHER or kid.tag in LAYOUT)
+                and not is_comment(kid)
+                and 2 * plain(kid) > plain(page)
+            ):
+                ids.add(id(kid))
+                work.append((kid, inside))
+            else:
+                closed.append((kid, (kid,)))
+    if not closed or regions(page, ids):
+        return ids
+    # Only what would be left out can hold an article now.
+    hidden: list[tuple[bool, int, tuple[Node, ...]]] = []
+    while closed:
+        node, path = closed.pop()
+        if is_comment(node):
+            continue
+        if node.tag == "article" or is_main(node):
+            hidden.append((is_main(node), measure(node)[0], path))
+            continue
+        for kid in node.kids:
+            if isinstance(kid, Node) and kid.tag not in RAW:
+                closed.append((kid, (*path, kid) if is_other(kid, False) else path))
+    if hidden:
+        main, size, path = max(hidden, key=lambda found: found[:2])
+        left = sum(len("".join(text.split())) for text in blocks(bodies(page), None, ids))
+        if size > (0 if main else left):
+            ids.update(map(id, path))
+    return ids
+
+
+def is_main(node: Node) -> bool:
+    return node.tag == "main" or ("main" in node.attributes and "main" in node.roles())
+
+
+def bodies(page: Node) -> list[Node]:
+    found = [n for n in page.kids if isinstance(n, Node) and n.tag == "html"] or [page]
+    return [k for n in found for k in n.kids if isinstance(k, Node) and k.tag == "body"] or [page]
+
+
+def blocks(nodes: list[Node], skip=None, ids: set[int] | frozenset[int] = frozenset()) -> list[str]:
+    """The text of the nodes, block by block, without markup and other containers.
+
+    Those of ``ids`` are read although they are named as something else.
+    """
     out: list[str] = []
     words: list[str] = []
 
@@ -90,7 +222,9 @@ def blocks(nodes: list[Node], skip=None) -> list[str]:
             elif item.tag == "br":
                 words.append(" ")
             else:
-                if item is not top and (is_other(item, inside) or (skip and skip(item))):
+                if item is not top and (
+                    (id(item) not in ids and is_other(item, inside)) or (skip and skip(item))
+                ):
                     continue
                 if item.tag in RAW:
                     continue
@@ -103,20 +237,23 @@ def blocks(nodes: list[Node], skip=None) -> list[str]:
     return out
 
 
-def regions(page: Node) -> list[Node]:
-    """The outermost articles; else main elements; else none."""
-    for wanted in ("article", "main"):
+def regions(page: Node, ids: set[int] | frozenset[int] = frozenset()) -> list[Node]:
+    """The outermost articles and main elements; else what is named main; else none."""
+    for named in (False, True):
         found, work = [], [page]
         while work:
             node = work.pop()
-            role = "main" if wanted == "main" and "main" in node.attributes else ""
-            if node.tag == wanted or (role and "main" in node.names()):
+            if (
+                "main" in node.attributes and "main" in node.words()
+                if named
+                else node.tag == "article" or is_main(node)
+            ):
                 found.append(node)
                 continue
             work.extend(
                 kid
                 for kid in reversed(node.kids)
-                if isinstance(kid, Node) and not is_other(kid, False)
+                if isinstance(kid, Node) and (id(kid) in ids or not is_other(kid, False))
             )
         if found:
             return found
@@ -230,16 +367,16 @@ class Aligner:
 
 def article(page: Node, template: set[int]) -> str:
     """The main text; ``template`` are ids of nodes whose text belongs to the host."""
-    found = regions(page)
+    ids = opened(page)
+    found = regions(page, ids)
     if found:
         def skip(node: Node) -> bool:
             return id(node) in template and node.tag not in HEADINGS
 
-        kept = blocks(found, skip) or blocks(found)
+        kept = blocks(found, skip, ids) or blocks(found, None, ids)
     else:
-        body = [n for n in page.kids if isinstance(n, Node) and n.tag == "html"] or [page]
-        body = [k for n in body for k in n.kids if isinstance(k, Node) and k.tag == "body"] or [page]
-        kept = blocks(body, lambda node: id(node) in template) or blocks(body)
+        body = bodies(page)
+        kept = blocks(body, lambda node: id(node) in template, ids) or blocks(body, None, ids)
     return "\n".join(kept)
 
 

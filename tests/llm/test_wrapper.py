@@ -43,6 +43,29 @@ def test_odd_pages(page, want):
     wrapper.Layout.of(parse(page))
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<div class='content-sidebar-wrap'><article><p>a</article></div>", "a"),
+        ("<div class='has-sidebar'><p>a</div>", "a"),
+        ("<div id=search-page><nav>no no no no</nav><article><p>a</article></div>", "a"),
+        ("<form><nav>no</nav><article><p>a</article><footer>no</footer></form>", "a"),
+        ("<body><form><div><p>a long story</div></form><p>b</body>", "a long story\nb"),
+        ("<div class=widget><article><p>a story</article></div><div>b</div>", "a story"),
+        ("<div>a long story here</div><div class=social><main><p>a</main></div><div>no</div>", "a"),
+        ("<div>a long story</div><aside><article><p>no</article></aside>", "a long story"),
+        ("<article><h2 id='related-work'>a</h2><section id='social-impact'><p>b</section>"
+         "<p id='notice-2'>c</p></article>", "a\nb\nc"),
+        ("<article><p>a<div class='related-posts'><a>no</a><a>no</a></div></article>", "a"),
+        ("<main><p>a<article><p>b</article><p>c</main>", "a\nb\nc"),
+        ("<div class='site-footer'>no</div><div class='comment-list'>no no</div><p>a", "a"),
+        ("<div class=comments><p>no no no no</div><p>a", "a"),
+    ],
+)
+def test_containers_that_hold_the_article(page, want):
+    assert text(page) == want
+
+
 def best(a, b):
     """Size of the largest matching, from the definition."""
 
