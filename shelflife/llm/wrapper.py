@@ -7,8 +7,8 @@ however long a page is.  Over all pages of the host it is counted how often a no
 the reference is matched and how often its text is the reference's; a node whose text
 stays the same on nearly all pages is template, one whose text varies is a slot.
 
-The article is the text of the page's article or main element, or, without one, of
-all slots of the page; a main element around articles is read as a whole.  Containers
+The article is the text of the page's article or main element, if a fair part of the
+page's slots lies in it or the host has no template; otherwise of all slots of the page; a main element around articles is read as a whole.  Containers
 that name themselves as something else (menus, footers, sidebars, adverts, forms,
 comments, ...) are left out unless they hold the article, as are template nodes,
 unless that would leave nothing, as on a host of copies.  A name counts as a whole: one
@@ -67,6 +67,7 @@ BOX_NAMES = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
 #: Elements that may hold a whole page all the same.
 LAYOUT = frozenset("form fieldset".split())
+CONFIRMED = 1 / 4  # of a page's varying text, for its article element to be its article
 LINKS = 2 / 3  # of the text of a box with an ambiguous name in links: not an article's
 
 
@@ -365,17 +366,36 @@ class Aligner:
         return self.known[key]
 
 
+def slots(tops: list[Node], template: set[int], ids: set[int]) -> int:
+    """Characters of varying text outside links, without other containers."""
+    size = 0
+    work = [(top, False) for top in tops if id(top) not in template]
+    while work:
+        node, inside = work.pop()
+        inside = inside or node.tag in ("article", "main")
+        for kid in node.kids:
+            if isinstance(kid, str):
+                size += sum(map(len, kid.split()))
+            elif kid.tag not in RAW and kid.tag != "a" and id(kid) not in template:
+                if id(kid) in ids or not is_other(kid, inside):
+                    work.append((kid, inside))
+    return size
+
+
 def article(page: Node, template: set[int]) -> str:
     """The main text; ``template`` are ids of nodes whose text belongs to the host."""
     ids = opened(page)
-    found = regions(page, ids)
+    found, body = regions(page, ids), bodies(page)
+    if found and template:
+        varying = slots(body, template, ids)
+        if slots(found, template, ids) < CONFIRMED * varying:
+            found = []
     if found:
         def skip(node: Node) -> bool:
             return id(node) in template and node.tag not in HEADINGS
 
         kept = blocks(found, skip, ids) or blocks(found, None, ids)
     else:
-        body = bodies(page)
         kept = blocks(body, lambda node: id(node) in template, ids) or blocks(body, None, ids)
     return "\n".join(kept)
 

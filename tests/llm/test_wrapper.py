@@ -134,6 +134,22 @@ def test_article_keeps_headings_and_paragraphs(spark):
     assert got == {i: f"Same\nSame\n{i}" for i in range(10)}
 
 
+def test_slots_refuse_an_article_element(spark):
+    rows = [
+        (i, "https://a.example", "<body><article><p>Read our magazine</p></article>"
+         f"<div class=story><p>Story {i} and how it goes on</p><p>End of {i}</p></div></body>")
+        for i in range(10)
+    ]
+    rows += [
+        (100 + i, "https://b.example", f"<body><div>Site</div><article><p>Story {i}</p></article>"
+         f"<div>{i} likes</div><div><a href=x>another long story {i}</a></div></body>")
+        for i in range(10)
+    ]
+    got = texts(wrapper.main_texts(pages_of(spark, rows)))
+    assert [got[i] for i in range(10)] == [f"Story {i} and how it goes on\nEnd of {i}" for i in range(10)]
+    assert [got[100 + i] for i in range(10)] == [f"Story {i}" for i in range(10)]
+
+
 def test_joins_instead_of_broadcasts(spark, monkeypatch):
     rows = [(i, f"http://{i % 3}.example/", f"<body><i>same</i><p>{i}</p></body>") for i in range(30)]
     want = texts(wrapper.main_texts(pages_of(spark, rows)))
