@@ -96,11 +96,12 @@ def mixture(
     max_repeat: int = MAX_REPEAT,
     seed: str = "mix",
 ) -> DataFrame:
-    """``id``, ``source``, ``size``, ``source_size``, ``target``, ``taken``, ``place``.
+    """``id``, ``source``, ``size``, ``source_size``, ``target``, ``taken``, ``place``, ``places``.
 
-    One row per document row, also those of which nothing is taken; ``place`` is where
-    its first copy stands, from 0 to 1, null if nothing is taken.  Sources, in code
-    point order, take the weights in turn.  Writes one table of small rows.
+    One row per document row, also those of which nothing is taken; ``places`` is where
+    its copies stand, from 0 to 1, one for each pass that takes words of it, and
+    ``place`` the first of them, null if nothing is taken.  Sources, in code point
+    order, take the weights in turn.  Writes one table of small rows.
     """
     folder = run_folder(docs.sparkSession)
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0))
@@ -154,19 +155,34 @@ def mixture(
     passes = F.when(F.col("source_size") > 0, F.expr("goal div source_size")).otherwise(F.lit(0))
     part = F.col("goal") - F.col("passes") * F.col("source_size") - F.col("start")
     part = F.greatest(F.lit(0), F.least(part, F.col("size")))
-    where = None
-    for w, knots in sorted(ramps.items()):
-        here = place(F.col("start") / F.col("goal"), knots)
-        where = here if where is None else F.when(F.col("weight") == w, here).otherwise(where)
+    copies = []
+    for n in range(max_repeat):
+        begin, where = F.col("source_size") * F.lit(n) + F.col("start"), None
+        for w, knots in sorted(ramps.items()):
+            here = place(begin / F.col("goal"), knots)
+            where = here if where is None else F.when(F.col("weight") == w, here).otherwise(where)
+        copies.append(F.when((F.col("taken") > 0) & (begin < F.col("goal")), where))
     return (
         rows.withColumn("goal", goal)
         .withColumn("passes", passes)
         .withColumn("taken", F.col("passes") * F.col("size") + part)
-        .withColumn("place", F.when(F.col("taken") > 0, where))
-        .select("id", "source", "size", "source_size", "target", "taken", "place")
+        .withColumn("place", copies[0])
+        .withColumn("places", F.array_compact(F.array(*copies)))
+        .select("id", "source", "size", "source_size", "target", "taken", "place", "places")
     )
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
-    """Documents of which something is taken, range-sorted by place."""
-    return mixed.where("taken > 0").orderBy("place", "source", "id")
+    """One row per copy of a document, range-sorted by place.
+
+    ``copy`` counts the passes from 0, ``words`` is what is taken of the copy, the first
+    so many; ``place`` is where the copy stands.
+    """
+    copies = mixed.where("taken > 0").drop("place").select("*", F.posexplode("places").alias("copy", "place"))
+    words = F.least(F.col("size"), F.col("taken") - F.col("copy") * F.col("size"))
+    return copies.withColumn("words", words).drop("places").orderBy("place", "source", "id", "copy")
+
+
+def document_order(mixed: DataFrame) -> DataFrame:
+    """One row per document row, range-sorted by the place of its first copy, those not taken last."""
+    return mixed.orderBy(F.col("place").asc_nulls_last(), "source", "id")

@@ -34,7 +34,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixture(table(spark, sf_dir, "documents"))
-    return mixed.select(
+    return mixing.document_order(mixed).select(
         F.col("id").alias("doc_id"),
         "size",
         "source_size",

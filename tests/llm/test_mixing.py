@@ -102,6 +102,37 @@ def test_places_invert_the_integral(spark, knots):
         assert integral(place) / integral(1) == pytest.approx(share, abs=1e-9)
 
 
+def test_every_copy_has_its_place(spark):
+    mixed = mixing.mixture(frame(spark))
+    rows, copies = mixed.collect(), mixing.training_order(mixed).collect()
+    sizes, weight, targets = shares(DOCS)
+    got = sorted((str(r.source), r.id or -1, r.copy, r.words, r.place) for r in copies)
+    want = []
+    for s, size in sizes.items():
+        # Each source's words one document after another, pass after pass, up to its goal.
+        own = sorted(
+            (hashlib.md5(f"{'' if i is None else f'{i}:'}mix".encode()).hexdigest(), i is not None, i or -1, words(t))
+            for i, t, x in DOCS if x == s
+        )
+        goal, begin = int(targets[s] + 0.5), 0
+        for copy in range(3):
+            for _, _, i, n in own:
+                if n and begin < goal:
+                    (t0, r0), (t1, r1) = mixing.RAMPS[weight[s]]
+                    lo, hi = 0.0, 1.0
+                    for _ in range(60):
+                        mid = (lo + hi) / 2
+                        asked = mid * (r0 + (r0 + (r1 - r0) * mid)) / (r0 + r1)
+                        lo, hi = (mid, hi) if asked < begin / goal else (lo, mid)
+                    want.append((str(s), i, copy, min(n, goal - begin), pytest.approx(lo, abs=1e-9)))
+                begin += n
+    assert len(got) == len(want) > len([r for r in rows if r.taken])
+    assert got == sorted(want, key=lambda r: (*r[:4], r[4].expected))
+    assert [r.place for r in copies] == sorted(r.place for r in copies)
+    assert all(len(r.places) == -(-r.taken // r.size) if r.size else r.places == [] for r in rows)
+    assert max(r.place for r in copies if r.source == "tiny") > 2 / 3
+
+
 def test_training_order_and_empty_table(spark):
     ordered = mixing.training_order(mixing.mixture(frame(spark))).collect()
     assert [r.place for r in ordered] == sorted(r.place for r in ordered)
