@@ -54,6 +54,26 @@ def test_one_row_of_each_text_stays(spark):
     assert len(rows) == len(set(rows)) and set(rows) == want
 
 
+@pytest.mark.parametrize("broadcast_keys", [0, 500_000])
+def test_only_survivors_are_hashed_and_moved(spark, monkeypatch, broadcast_keys):
+    staged = {}
+
+    def note(rows, folder):
+        staged[folder.rsplit("/", 1)[1]] = found = write(rows, folder)
+        return found
+
+    write = exact.stage
+    monkeypatch.setattr(exact, "stage", note)
+    kept = exact.exact_deduped(frame(spark), broadcast_keys=broadcast_keys)
+    assert "hash" not in staged["measured"].columns
+    texts = [t or "" for _, t in DOCS]
+    shared = sum([(len(x.encode()), x[:64]) for x in texts].count((len(t.encode()), t[:64])) > 1 for t in texts)
+    assert staged["full"].where("hash is not null").count() == (shared if broadcast_keys else len(DOCS))
+    rows = sorted((str(r.doc_id), r.text or "") for r in kept.collect())
+    assert rows == sorted((str(r.doc_id), r.text or "") for r in exact.exact_deduped(frame(spark)).collect())
+    assert len(rows) == len(set(texts))
+
+
 def test_no_python_runs(spark):
     groups = exact.exact_groups(frame(spark))
     assert "Python" not in groups._jdf.queryExecution().toString()
