@@ -13,8 +13,8 @@ block's table of kept hashes is broadcast, and the documents pass block after bl
 without a shuffle.  Memory is one block and one part of texts per task.
 
 Defined cases: null or wordless text has no words and no hits; null or wordless items
-never hit; an item without id is no item; equal items count separately; a repeated document row is reported each
-time; an empty benchmark leaves all documents clean; other columns, whatever their
+never hit; the words of an item without id hit, but it is not among the items found; equal items count
+separately; a repeated document row is reported each time; an empty benchmark leaves all documents clean; other columns, whatever their
 names, are untouched.
 """
 
@@ -40,6 +40,7 @@ from shelflife.llm.shared import (
 WINDOW = 13
 GRAM = 7
 BLOCK_BYTES = 16 * 1024 * 1024
+PAIRS = 1 << 20  # (word of a text, word of an item) extended at a time
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 # Words are ASCII letters and digits and everything beyond ASCII, A-Z in lower case.
@@ -79,10 +80,12 @@ def winnow(grams: np.ndarray, w: int) -> np.ndarray:
 class Block:
     """Winnowed fingerprints of some items: their hashes, places and words."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int, gram: int):
+    def __init__(self, items: list[tuple[int | None, str]], window: int, gram: int):
         by_text: dict[bytes, list[int]] = {}
         for item, text in items:
-            by_text.setdefault((text or "").encode(), []).append(item)
+            ids = by_text.setdefault((text or "").encode(), [])
+            if item is not None:
+                ids.append(item)
         texts = list(by_text)
         self.ids = [np.array(x, np.int64) for x in by_text.values()]
         bounds = np.zeros(len(texts) + 1, np.int64)
@@ -121,27 +124,31 @@ def hits(block: Block, words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarra
         at = at[seen[grams[at] >> np.uint64(48)]]
         lo = np.searchsorted(hashes, grams[at], "left")
         n = np.searchsorted(hashes, grams[at], "right") - lo
-        p = np.repeat(at, n)
-        q = places[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
-        # Extend to both sides, never beyond the text, the item or a window's reach.
-        begin, end = p.copy(), p + k
-        for sign, reach in ((-1, begin), (1, end)):
-            going = np.arange(len(p))
-            for _ in range(m - k):
-                a = reach[going] + (sign < 0) * -1
-                b = a - p[going] + q[going]
-                t, i = owner[p[going]], block.owner[q[going]]
-                ok = (a >= firsts[t]) & (a < firsts[t + 1])
-                ok &= (b >= block.firsts[i]) & (b < block.firsts[i + 1])
-                ok[ok] = words[a[ok]] == block.words[b[ok]]
-                going = going[ok]
-                if not len(going):
-                    break
-                reach[going] += sign
-        full = end - begin >= m
-        np.add.at(hit, begin[full], 1)
-        np.add.at(hit, end[full], -1)
-        pairs.append(np.stack([owner[p[full]], block.owner[q[full]]], axis=1))
+        total = np.concatenate([[0], np.cumsum(n)])
+        for start in range(0, int(total[-1]), PAIRS):
+            # The pairs of a common gram are the product of its places: taken in steps.
+            pair = np.arange(start, min(start + PAIRS, int(total[-1])))
+            of = np.searchsorted(total, pair, "right") - 1
+            p, q = at[of], places[lo[of] + pair - total[of]]
+            # Extend to both sides, never beyond the text, the item or a window's reach.
+            begin, end = p.copy(), p + k
+            for sign, reach in ((-1, begin), (1, end)):
+                going = np.arange(len(p))
+                for _ in range(m - k):
+                    a = reach[going] + (sign < 0) * -1
+                    b = a - p[going] + q[going]
+                    t, i = owner[p[going]], block.owner[q[going]]
+                    ok = (a >= firsts[t]) & (a < firsts[t + 1])
+                    ok &= (b >= block.firsts[i]) & (b < block.firsts[i + 1])
+                    ok[ok] = words[a[ok]] == block.words[b[ok]]
+                    going = going[ok]
+                    if not len(going):
+                        break
+                    reach[going] += sign
+            full = end - begin >= m
+            np.add.at(hit, begin[full], 1)
+            np.add.at(hit, end[full], -1)
+            pairs.append(np.unique(np.stack([owner[p[full]], block.owner[q[full]]], axis=1), axis=0))
     found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), np.int64)
     return np.cumsum(hit)[:-1] > 0, found
 
@@ -190,14 +197,14 @@ def _scan(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]
             )
 
 
-def _blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+def _blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about BLOCK_BYTES, each collected on its own."""
     size = F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))
     n = items.agg(size.alias("n")).first()["n"] // BLOCK_BYTES + 1
     for i in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64(item_col, text_col), F.lit(n)) == i)
         rows = part.select(F.col(item_col).cast("bigint"), F.col(text_col)).collect()
-        yield [(row[0], row[1]) for row in rows if row[0] is not None]
+        yield [(row[0], row[1]) for row in rows]
 
 
 def contamination(

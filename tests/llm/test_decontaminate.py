@@ -74,6 +74,23 @@ def test_edge_rows(spark, monkeypatch, block):
     assert digests(decontaminate.contamination(docs, items)) == by_hand(DOCS, ITEMS)
 
 
+def test_items_without_id_hit_and_pairs_in_steps(spark, monkeypatch):
+    found = []
+    for pairs in (decontaminate.PAIRS, 3):
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        found.append([])
+        for text in ("x " * 30 + A, "alpha beta"):
+            data, bounds = decontaminate.np.frombuffer(text.encode(), "u1"), decontaminate.np.array([0, len(text)])
+            block = decontaminate.Block([(i, f"{A} {i}") for i in range(9)] + [(None, "alpha beta")], 13, 7)
+            hit, where = decontaminate.hits(block, *decontaminate.word_hashes(data, bounds))
+            found[-1].append((hit.tolist(), where.tolist()))
+    assert found[0] == found[1] and sum(found[0][0][0]) == 15 and len(found[0][0][1]) == 9
+    monkeypatch.undo()
+    docs, items = frames(spark, [(1, A), (2, "alpha beta"), (3, "gamma")], [(None, A), (None, "Beta"), (7, "gamma")])
+    got = {r[0]: (r[2], r[3], r[5]) for r in digests(decontaminate.contamination(docs, items))}
+    assert got == {1: (15, 0, True), 2: (1, 0, True), 3: (1, 1, True)}
+
+
 def test_empty_tables(spark):
     docs, items = frames(spark, DOCS, ITEMS)
     assert digests(decontaminate.contamination(docs.limit(0), items)) == []
