@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflife.llm import decontaminate, exact, language, mixing, simhash, substrings, tokens, toxicity, warc, wrapper
+from shelflife.llm import (
+    decontaminate,
+    exact,
+    language,
+    lines,
+    mixing,
+    simhash,
+    substrings,
+    tokens,
+    toxicity,
+    warc,
+    wrapper,
+)
 from shelflife.llm.shared import table
 
 
@@ -70,6 +82,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.train(docs)).withColumnRenamed("id", "doc_id")
 
 
+def op13_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.judged(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def _sql(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
@@ -81,6 +101,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
+    "op13_line_quality": op13_line_quality,
 }
 
 ORACLE = {
@@ -154,4 +175,67 @@ ORACLE = {
                    ELSE 2 * share / (0.5 + sqrt(0.25 + 2 * share)) END, 6) END AS place
         FROM taken
     """,
+    "op13_line_quality": rf"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+        ), words AS (
+            SELECT r, unnest(all_words) AS w, generate_subscripts(all_words, 1) AS i
+            FROM (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS all_words FROM docs)
+        ), windows AS (
+            SELECT r, i, w, lead(w, 1) OVER text_order AS w2, lead(w, 2) OVER text_order AS w3
+            FROM words WINDOW text_order AS (PARTITION BY r ORDER BY i)
+        ), often AS (
+            SELECT r, i, w3 IS NOT NULL AND count(*) OVER (PARTITION BY r, w, w2, w3) > 1 AS again
+            FROM windows
+        ), covered AS (
+            SELECT r, again OR coalesce(lag(again, 1) OVER text_order, false)
+                      OR coalesce(lag(again, 2) OVER text_order, false) AS inside
+            FROM often WINDOW text_order AS (PARTITION BY r ORDER BY i)
+        ), word_counts AS (
+            SELECT r, count(*) AS n_words, count(*) FILTER (inside) AS n_repeat_words
+            FROM covered GROUP BY r
+        ), split AS (
+            SELECT r, unnest(parts) AS line, generate_subscripts(parts, 1) AS i
+            FROM (SELECT r, string_split(text, chr(10)) AS parts FROM docs)
+        ), measured AS (
+            SELECT r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+                   length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+                   len(regexp_extract_all(line, {_sql(lines.SEPARATORS)})) AS separators,
+                   row_number() OVER (PARTITION BY r, line ORDER BY i) AS nth
+            FROM split
+        ), verdicts AS (
+            SELECT *,
+                   NOT regexp_matches(line, {_sql(lines.SENTENCE_END)})
+                   OR 10 * len(regexp_extract_all(line, {_sql(lines.MARKS)})) > 3 * n AS punctuation,
+                   separators >= 2 AND n <= 4 * (separators + 1)
+                   OR regexp_matches(line, {_sql(lines.MENU)}) AS navigation,
+                   n <= {lines.NOTICE_WORDS} AND regexp_matches(line, {_sql(lines.NOTICE)}) AS boilerplate
+            FROM measured WHERE n > 0
+        ), line_counts AS (
+            SELECT r, count(*) AS n_lines, count(*) FILTER (nth > 1) AS n_dup_lines,
+                   count(*) FILTER (punctuation) AS punctuation_lines,
+                   count(*) FILTER (navigation) AS navigation_lines,
+                   count(*) FILTER (boilerplate) AS boilerplate_lines,
+                   sum(chars) FILTER (punctuation OR navigation OR boilerplate) AS lost_chars
+            FROM verdicts GROUP BY r
+        ), counts AS (
+            SELECT doc_id, coalesce(n_words, 0) AS n_words,
+                   length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   coalesce(n_dup_lines, 0) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   coalesce(n_lines, 0) AS n_lines,
+                   coalesce(punctuation_lines, 0) AS punctuation_lines,
+                   coalesce(navigation_lines, 0) AS navigation_lines,
+                   coalesce(boilerplate_lines, 0) AS boilerplate_lines,
+                   CAST(coalesce(lost_chars, 0) AS BIGINT) AS lost_chars
+            FROM docs LEFT JOIN word_counts USING (r) LEFT JOIN line_counts USING (r)
+        ), base AS (
+            SELECT *, n_words < {lines.MIN_WORDS}
+                      OR 100 * n_repeat_words > {lines.MAX_REPEATED} * n_words AS base_failed
+            FROM counts
+        )
+        SELECT *, NOT base_failed AND 100 * lost_chars <= {lines.MAX_LOST} * word_chars AS kept
+        FROM base
+    """,
 }
