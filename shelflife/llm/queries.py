@@ -16,6 +16,7 @@ from shelflife.llm import (
     tokens,
     toxicity,
     warc,
+    whitening,
     wrapper,
 )
 from shelflife.llm.shared import table
@@ -82,6 +83,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.train(docs)).withColumnRenamed("id", "doc_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    return whitening.by_component(whitening.whiten(vectors, model), model).withColumnRenamed("id", "vec_id")
+
+
 def op13_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.judged(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -101,6 +108,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
+    "op11_whitening": op11_whitening,
     "op13_line_quality": op13_line_quality,
 }
 
