@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflife.llm import (
+    conversations,
     decontaminate,
     exact,
     language,
@@ -89,10 +90,30 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.by_component(whitening.whiten(vectors, model), model).withColumnRenamed("id", "vec_id")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    report = conversations.repair_report(conversations.damaged(rows), ids=rows)
+    return report.withColumnRenamed("conv", "conv_id")
+
+
 def op13_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.judged(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def _put(state: str, letter: str, cost: str, line: str) -> str:
+    """SQL of a path longer by an edit; null stays null."""
+    return (
+        f"CASE WHEN {state} IS NOT NULL THEN {{'cost': {state}.cost + {cost}, 'audit': {state}.audit || '{letter}',"
+        f" 'lines': {state}.lines || {line}}} END"
+    )
+
+
+def _insert(state: str, *roles: str) -> str:
+    """SQL of a path longer by inserted rows."""
+    lines_, letters = "".join(f"chr(10) || '{r}:' || " for r in roles) + "''", "I" * len(roles)
+    return _put(state, letters, str(2 * len(roles)), f"({lines_})")
+
+
 def _sql(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
@@ -109,6 +130,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
     "op11_whitening": op11_whitening,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_line_quality": op13_line_quality,
 }
 
@@ -183,6 +205,85 @@ ORACLE = {
                    ELSE 2 * share / (0.5 + sqrt(0.25 + 2 * share)) END, 6) END AS place
         FROM taken
     """,
+    "op12_conversation_repair": rf"""
+        WITH RECURSIVE checksums AS (
+            SELECT list(value ORDER BY byte) AS entries FROM (
+                SELECT byte, list_reduce(list_prepend(byte, range(8)), lambda c, i:
+                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS value
+                FROM range(256) AS bytes(byte))
+        ), given AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+            FROM conversations
+        ), diced AS (
+            SELECT *, xor(4294967295, list_reduce(
+                       list_prepend(4294967295, list_transform(range(1, length(key) + 1), lambda i: CAST(ord(key[i]) AS BIGINT))),
+                       lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))) % 20 AS dice
+            FROM given, checksums
+        ), hurt AS (
+            SELECT conv_id, turn, CASE WHEN dice = 4 THEN 'user' ELSE role END AS role,
+                   CASE dice WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE WHEN dice = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM diced WHERE dice <> 0
+        ), ordered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                       sha256(strlen(role) || ':' || role || text)) AS n
+            FROM hurt
+        ), judged AS (
+            SELECT conv_id, n, turn, role, text, role[1] AS initial,
+                   lag(role[1]) OVER (PARTITION BY conv_id ORDER BY n) || role[1] AS pair,
+                   CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+                        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault
+            FROM ordered
+        ), steps AS (
+            SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS forced,
+                   CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS extra
+            FROM judged
+        ), found AS (
+            SELECT conv_id, count(*) AS n,
+                   CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank,
+                   count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (n > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM judged GROUP BY conv_id
+        ), walk AS (
+            SELECT conv_id, CAST(0 AS BIGINT) AS done,
+                   CAST({{'cost': 0, 'audit': '', 'lines': ''}} AS STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR)) AS s0,
+                   CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR)) AS s1,
+                   CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR)) AS s2,
+                   CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR)) AS s3
+            FROM found
+            UNION ALL
+            SELECT conv_id, done + 1, {_put("t0", "D", "3", "''")},
+                   list_min([{_put("t1", "D", "3", "''")},
+                             CASE WHEN NOT forced AND initial = 's' THEN {_put("t0", "K", "extra", "line")} END]),
+                   list_min([{_put("t2", "D", "3", "''")},
+                             CASE WHEN NOT forced AND initial = 'u' THEN {_put("t013", "K", "extra", "line")} END,
+                             CASE WHEN NOT forced THEN {_put("t013", "R", "2 + extra", "chr(10) || 'user:' || text")} END]),
+                   list_min([{_put("t3", "D", "3", "''")},
+                             CASE WHEN NOT forced AND initial = 'a' THEN {_put("t2", "K", "extra", "line")} END,
+                             CASE WHEN NOT forced THEN {_put("t2", "R", "2 + extra", "chr(10) || 'assistant:' || text")} END])
+            FROM (
+                SELECT *, list_min([t0, t1, t3]) AS t013 FROM (
+                    SELECT w.conv_id, done, forced, extra, initial, text, chr(10) || role || ':' || text AS line,
+                           s0 AS t0, s1 AS t1,
+                           list_min([s2, {_insert("s0", "user")}, {_insert("s1", "user")}, {_insert("s3", "user")}]) AS t2,
+                           list_min([s3, {_insert("s2", "assistant")}, {_insert("s0", "user", "assistant")},
+                                     {_insert("s1", "user", "assistant")}]) AS t3
+                    FROM walk w JOIN steps ON steps.conv_id IS NOT DISTINCT FROM w.conv_id AND steps.n = done + 1))
+        ), ended AS (
+            SELECT w.conv_id, list_min([s0, s3, {_insert("s2", "assistant")}, {_insert("s1", "user", "assistant")}]) AS best
+            FROM walk w JOIN found ON found.conv_id IS NOT DISTINCT FROM w.conv_id AND found.n = done
+        )
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+               coalesce(best.audit, '') AS audit, sha256(coalesce(substr(best.lines, 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c
+        LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+    """,
     "op13_line_quality": rf"""
         WITH docs AS (
             SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents

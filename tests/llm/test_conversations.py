@@ -1,0 +1,173 @@
+"""Repair against a search over all edits, one row after the other."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from shelflife.llm import conversations
+
+KIND = "conv_id bigint, turn bigint, role string, text string, kind int, conv string, copies bigint"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 7, "x", None) for r in rows], KIND)
+
+
+def tie(row):
+    role, text = (" " if v is None else v for v in row[2:4])
+    return hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, tie(r)))
+
+
+def by_hand(rows):
+    """The report of one conversation by a search from the front: the least (cost, audit) at each state."""
+    seen, counts, illegal, before = set(), [0, 0, 0], 0, None
+    states = {"": (0, "", [])}  # by what was emitted last: "", "s", "u", "a"
+
+    def offer(into, state, path):
+        if state not in into or path[:2] < into[state][:2]:
+            into[state] = path
+
+    def inserted(states):
+        states = dict(states)
+        for _ in range(2):
+            for state, (cost, audit, out) in list(states.items()):
+                role = "assistant" if state == "u" else "user"
+                offer(states, role[0], (cost + 2, audit + "I", [*out, f"{role}:"]))
+        return states
+
+    for _, _, role, text in ordered(rows):
+        role, text = (" " if v is None else v for v in (role, text))
+        bare = text.strip(" \t\n\x0b\x0c\r")
+        fault = 0 if not bare else 1 if (role, text) in seen else 2 if bare[-1] not in ".!?" else None
+        seen.add((role, text))
+        if fault is not None:
+            counts[fault] += 1
+        illegal += before is not None and before + role[:1] not in ("su", "ua", "au")
+        before = role[:1]
+        new = {}
+        for state, (cost, audit, out) in inserted(states).items():
+            offer(new, state, (cost + 3, audit + "D", out))
+            if fault in (0, 1):
+                continue
+            extra = int(fault == 2)
+            due = "assistant" if state == "u" else "user"
+            if role[:1] == due[0] or (state == "" and role[:1] == "s"):
+                offer(new, role[:1], (cost + extra, audit + "K", [*out, f"{role}:{text}"]))
+            offer(new, due[0], (cost + 2 + extra, audit + "R", [*out, f"{due}:{text}"]))
+        states = new
+    ends = [path for state, path in inserted(states).items() if state in ("", "a")]
+    cost, audit, out = min(ends, key=lambda p: p[:2])
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    return (gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(out).encode()).hexdigest()), out
+
+
+def check(spark, rows, block=conversations.BLOCK):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[0], []).append(r)
+    given = frame(spark, rows)
+    found = conversations.repair_report(given, block=block).collect()
+    got = {r.conv: tuple(r[c] for c in conversations.DIGEST[1:]) for r in found}
+    assert len(found) == len(groups)
+    assert got == {conv: by_hand(own)[0] for conv, own in groups.items()}
+    return got, groups
+
+
+TEXTS = ["Yes.", "No!", "Why?", "cut", "", " \n", None, "Yes. ", "…", "x ", "Long. " * 500]
+ROLES = ["user", "assistant", "system", "user", "assistant", "User", "", None, "unknown", "é"]
+
+
+def chat(rng, conv, n, turns=None):
+    return [(conv, rng.choice([None, *range(turns or 2 * n + 1)]), rng.choice(ROLES), rng.choice(TEXTS) if rng.random() < 0.5 else f"t{rng.randrange(3 * n)}.") for _ in range(n)]
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 4096])
+def test_random_conversations(spark, block):
+    rng = random.Random(12)
+    rows = [r for conv in (None, *range(60)) for r in chat(rng, conv, rng.randrange(1, 14))]
+    rows += [r for conv in range(60, 70) for r in chat(rng, conv, 9, turns=3)]  # many ties
+    check(spark, rows, block)
+
+
+def test_plain_cases(spark):
+    def conv(i, roles):
+        names = {"s": "system", "u": "user", "a": "assistant"}
+        return [(i, t, names[r], f"Text {t}.") for t, r in enumerate(roles)]
+
+    cases = ["uaua", "suaua", "s", "u", "a", "su", "au", "aua", "uu", "ssua", "uas", "usa", "uauau", "aaaa", "ussa"]
+    got, _ = check(spark, [r for i, roles in enumerate(cases) for r in conv(i, roles)])
+    audits = {roles: got[i][6] for i, roles in enumerate(cases)}
+    assert audits["uaua"] == "KKKK" and audits["suaua"] == "KKKKK" and audits["s"] == "D"
+    assert audits["u"] == "KI" and audits["a"] == "IK" and audits["su"] == "KKI"
+    assert got[cases.index("s")][7] == hashlib.sha256(b"").hexdigest()
+
+
+def test_a_conversation_with_most_rows(spark):
+    rng = random.Random(3)
+    rows = chat(rng, 1, 700) + [r for conv in range(2, 40) for r in chat(rng, conv, 5)]
+    rows += [(1, 5, "user", "Yes.")] * 400 + [(41, 0, "user", "Same.")] * 300
+    got, _ = check(spark, rows, block=16)
+    assert got[41][6] == "K" + "D" * 299 + "I"
+
+
+def test_equal_rows_are_one_item(spark):
+    rows = [(1, 5, "user", "Yes.")] * 500 + [(1, t, "user", f"T{t}.") for t in range(100)]
+    items = conversations.item_edits(frame(spark, rows), block=8).collect()
+    assert len(items) == 101 and sorted(r.copies for r in items)[-2:] == [1, 500]
+
+
+def test_ranks_choose_the_least_of_many_equal_paths():
+    # Two arcs a node everywhere: D keeps the lane, K changes it; lane 1 ends early.
+    n = 37
+    to = np.full((2 * n, 4), -1)
+    for i in range(n - 1):
+        to[2 * i] = [2 * i + 2, -1, 2 * i + 3, -1]
+        to[2 * i + 1] = [-1, -1, 2 * i + 2, 2 * i + 3]
+    path, edits = conversations._least_paths(to, np.array([0, 1, 2 * n - 2]), n + 1)
+    letters = ["".join("DIKR"[e] for e in row if e >= 0) for row in edits]
+    assert letters == ["D" * (n - 1), "K" + "D" * (n - 2), ""]
+    assert path[0][: n + 1].tolist() == [*range(0, 2 * n, 2), -1][: n + 1] and path[2][0] == 2 * n - 2
+
+
+def test_repaired_rows(spark):
+    rng = random.Random(9)
+    rows = [r for conv in range(25) for r in chat(rng, conv, 8)]
+    found = conversations.repaired(frame(spark, rows), block=4).collect()
+    for conv in range(25):
+        own = sorted((r for r in found if r.conv == conv), key=lambda r: r.n)
+        report, out = by_hand([r for r in rows if r[0] == conv])
+        assert [f"{r.role}:{r.text}" for r in own] == out
+        assert "".join(r.edit for r in own) == report[6].replace("D", "")
+        assert [r.n for r in own] == list(range(len(own)))
+
+
+def test_damage(spark):
+    rows = [(c, t, r, "What? Yes. No!") for c in (1, None, 22) for t in (*range(40), None) for r in ("system",)]
+    rows += [(5, t, None, None) for t in range(30)]
+    got = sorted((tuple(r) for r in conversations.damaged(frame(spark, rows)).collect()), key=str)
+    want = []
+    for c, t, role, text in rows:
+        shown = [" " if v is None else str(v) for v in (c, t)]
+        dice = zlib.crc32(":".join(shown).encode()) % 20
+        role, text = role or " ", text or " "
+        text = {1: "", 2: text.replace("?", "").replace(".", "").replace("!", "")}.get(dice, text)
+        row = (c, t, "user" if dice == 4 else role, text)
+        want += [row] * {0: 0, 3: 2}.get(dice, 1)
+    assert got == sorted(want, key=str) and len(want) > 100
+
+
+def test_ids_without_rows_and_empty_table(spark):
+    rows = frame(spark, [(1, 0, "user", "Hi."), (2, 0, "user", "Hi.")])
+    report = conversations.repair_report(rows.where("conv_id = 1"), ids=rows)
+    got = {r.conv: tuple(r[c] for c in conversations.DIGEST[1:]) for r in report.collect()}
+    assert got[2] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest()) and got[1][5:7] == (2, "KI")
+    assert conversations.repair_report(rows.limit(0), ids=rows.limit(0)).count() == 0
+    assert conversations.repaired(rows.limit(0)).count() == 0
