@@ -92,6 +92,11 @@ class Store:
         name = self.names[table]
         return name if self.root is None else f"{self.root.rstrip('/')}/{name}"
 
+    def beside(self, name: str) -> str:
+        """A folder next to the tables."""
+        root = self.spark.conf.get("spark.sql.warehouse.dir") if self.root is None else self.root
+        return f"{root.rstrip('/')}/{name}"
+
     def exists(self, table: str) -> bool:
         if self.root is None:
             return self.spark.catalog.tableExists(self._where(table))

@@ -93,8 +93,8 @@ SELECT * EXCLUDE (rn) FROM (
                           max(last_modified_date) AS d FROM {summary} GROUP BY 1, 2) n
           ON n.w = lower(trim(i.workspace_name)) AND n.t = lower(trim(i.item_name))
         LEFT JOIN {rules} p ON p.item_type = i.item_type
-        WHERE NOT coalesce(i.item_type = 'LakehouseTable' AND regexp_matches(i.item_name, '/(Files|Tables|TableMaintenance)$'), false)
-          AND NOT coalesce(i.item_type = 'LakehouseFile' AND contains(i.item_name, '/Files/Tables/'), false)
+        WHERE NOT (i.item_type = 'LakehouseTable' AND regexp_matches(i.item_name, '/(Files|Tables|TableMaintenance)$'))
+          AND NOT (i.item_type = 'LakehouseFile' AND contains(i.item_name, '/Files/Tables/'))
       )))) WHERE rn = 1"""
 
 
@@ -423,9 +423,10 @@ VERDICTS = """count(*) AS total, CAST(count(*) FILTER (exceeds_retention) AS BIG
 QUERIES = {
     # Readiness.
     "readiness_report": "SELECT * FROM ready",
+    "readiness_by_change": "SELECT * FROM ready",
     "policy_types": """SELECT item_type, count(*) AS item_count, max(retention_period_days) AS retention_days FROM inv
-      WHERE NOT coalesce(item_type = 'LakehouseTable' AND regexp_matches(item_name, '/(Files|Tables|TableMaintenance)$'), false)
-        AND NOT coalesce(item_type = 'LakehouseFile' AND contains(item_name, '/Files/Tables/'), false) GROUP BY 1""",
+      WHERE NOT (item_type = 'LakehouseTable' AND regexp_matches(item_name, '/(Files|Tables|TableMaintenance)$'))
+        AND NOT (item_type = 'LakehouseFile' AND contains(item_name, '/Files/Tables/')) GROUP BY 1""",
     "policy_table": "SELECT * FROM rules",
     "policy_override": """SELECT p.* REPLACE (coalesce(o.days, p.retention_days) AS retention_days) FROM rules p
       LEFT JOIN (SELECT item_type, max(retention_period_days) * 2 AS days FROM inv WHERE age_days IS NOT NULL GROUP BY 1) o USING (item_type)""",
@@ -568,6 +569,7 @@ QUERIES = {
       WHEN 3 THEN '  ' || item_name || ' ' WHEN 4 THEN '' WHEN 5 THEN NULL ELSE item_name END AS item_name) FROM ready""",
     "full_inventory": "SELECT * FROM built",
     "full_run": readiness("full_report"),
+    "full_run_by_change": readiness("full_report"),
 }
 
 ORACLE = {name: with_relations(sql) for name, sql in QUERIES.items()}

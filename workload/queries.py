@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, time
+from dataclasses import replace
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflife.functions import text, times
 from shelflife.operators import activity, adhoc, discovery, inventory, readiness, reports
-from shelflife.plans import daily
+from shelflife.plans import by_change, daily
 from shelflife.schemas import EVENTS, INVENTORY, READINESS, conform
 from shelflife.sources import events, listings, paths, scanner
 from shelflife.sources.store import Store, export_csv, read_export, scratch_folder, stage
@@ -61,6 +62,31 @@ def stored_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readiness_report(spark, sf_dir)
 
 
+def earlier_tables(spark: SparkSession, sf_dir: str, part: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three tables as they were some days before: of every ``part`` items one is missing,
+    one has another name, one has vanished since; of every ``part`` artifacts one has no events
+    of the second half; and one type has other retention days."""
+    items, raw = inputs.inventory_table(spark, sf_dir), inputs.raw_events(spark, sf_dir)
+    draw = F.pmod(F.xxhash64("item_id", "item_name"), F.lit(part))
+    known = items.where(draw != 0)
+    renamed = F.when(draw == 1, F.concat("item_name", F.lit(" (old)"))).otherwise(F.col("item_name"))
+    vanished = items.where(draw == 2).withColumn("item_id", F.concat("item_id", F.lit("-gone")))
+    older = known.withColumn("item_name", renamed).unionByName(vanished)
+    later = (F.pmod(F.xxhash64("artifact_id"), F.lit(part)) == 0) & (F.col("event_date") >= "2024-01-16")
+    summary = activity.summarize_activity(raw.where(~F.coalesce(later, F.lit(False))))
+    policy = readiness.build_policy(items, AS_OF)
+    days = F.when(F.col("item_type") == "LakehouseFile", F.col("retention_days") + part)
+    return older, summary, policy.withColumn("retention_days", F.coalesce(days, "retention_days"))
+
+
+def readiness_by_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the third day, after two days on which tables and verdicts were others."""
+    kept = by_change.kept_state(spark, scratch_folder(spark))
+    for part, days in ((12, 40), (25, 1)):
+        by_change.update(kept, *earlier_tables(spark, sf_dir, part), AS_OF - timedelta(days=days))
+    return by_change.update(kept, *_tables(spark, sf_dir), AS_OF)
+
+
 def policy_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Double the days of every type that has dated items in the inventory."""
     dated = inputs.inventory_table(spark, sf_dir).where(F.col("age_days").isNotNull())
@@ -337,6 +363,16 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def full_run_by_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job on two days, the first without the last events; the second judges what changed."""
+    store = Store(spark, scratch_folder(spark))
+    landed = inputs.landed(spark, sf_dir)
+    settings = replace(inputs.SETTINGS, by_change=True)
+    earlier = replace(landed, events=landed.events.where(F.col("event_date") < "2024-01-28"))
+    daily.run_daily(earlier, store, AS_OF - timedelta(days=1), settings)
+    return daily.run_daily(landed, store, AS_OF, settings)
+
+
 def full_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inventory the daily job builds from landed payloads."""
     store = Store(spark, scratch_folder(spark))
@@ -351,6 +387,7 @@ def _over(source: Query, operator: Callable[..., DataFrame], *args) -> Query:
 QUERIES: dict[str, Query] = {
     # Readiness.
     "readiness_report": readiness_report,
+    "readiness_by_change": readiness_by_change,
     "policy_types": _over(inputs.inventory_table, readiness.discover_types),
     "policy_table": policy_table,
     "policy_override": policy_override,
@@ -448,4 +485,5 @@ QUERIES: dict[str, Query] = {
     "export_roundtrip": export_roundtrip,
     "full_inventory": full_inventory,
     "full_run": full_run,
+    "full_run_by_change": full_run_by_change,
 }
