@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelflife.functions import fixed, scoring, text, times
-from shelflife.operators.joins import lookup_join, spread_join
+from shelflife.operators.joins import fits_broadcast, lookup_join, spread_join
 from shelflife.operators.keep import keep_first
 from shelflife.schemas import POLICY, READINESS, conform
+from shelflife.sources.buckets import Bucketed
 
 
 def without_system_objects(inventory: DataFrame) -> DataFrame:
@@ -80,6 +81,16 @@ def latest_by_name(activity: DataFrame) -> DataFrame:
     ).agg(F.max("last_modified_date").alias("act_date_by_name"))
 
 
+def keyed(inventory: DataFrame) -> DataFrame:
+    """The rows to judge, with the name keys they are dated by."""
+    return without_system_objects(inventory).select(
+        "workspace_name", "item_name", "item_type", "item_id",
+        F.col("last_modified_date").alias("inventory_modified_date"), "created_date",
+        text.name_key(F.col("workspace_name")).alias("ws_key"),
+        text.name_key(F.col("item_name")).alias("name_key"),
+    )
+
+
 def assess(inventory: DataFrame, activity: DataFrame, policy: DataFrame, as_of: datetime) -> DataFrame:
     """Every item with its best date and verdict, one row per (id, type, name).
 
@@ -87,16 +98,14 @@ def assess(inventory: DataFrame, activity: DataFrame, policy: DataFrame, as_of:
     Besides the report's columns it keeps ``exceeds_retention``, which is null where
     a date or a retention period is missing.
     """
-    keyed = without_system_objects(inventory).select(
-        "workspace_name", "item_name", "item_type", "item_id",
-        F.col("last_modified_date").alias("inventory_modified_date"), "created_date",
-        text.name_key(F.col("workspace_name")).alias("ws_key"),
-        text.name_key(F.col("item_name")).alias("name_key"),
-    )
-    by_id = spread_join(keyed, latest_by_id(activity), ["item_id"])
-    by_name = spread_join(by_id, latest_by_name(activity), ["ws_key", "name_key"])
+    by_id = spread_join(keyed(inventory), latest_by_id(activity), ["item_id"])
+    return judged(spread_join(by_id, latest_by_name(activity), ["ws_key", "name_key"]), policy, as_of)
+
+
+def judged(dated: DataFrame, policy: DataFrame, as_of: datetime) -> DataFrame:
+    """Verdicts of rows with their activity dates, one row per (id, type, name)."""
     days = policy.select("item_type", "retention_days")
-    enriched = lookup_join(by_name, days, ["item_type"])
+    enriched = lookup_join(dated, days, ["item_type"])
     report = scoring.readiness_columns(enriched, as_of).select(
         "workspace_name", "item_name", "item_type", "item_id", "last_modified_date", "date_source",
         "created_date", "retention_days", "days_since_modified", "exceeds_retention",
@@ -112,6 +121,45 @@ def assess(inventory: DataFrame, activity: DataFrame, policy: DataFrame, as_of:
     return keep_first(report, ["item_id", "item_type", "item_name"], order)
 
 
+def dated_by_id(inventory: Bucketed, activity: Bucketed) -> tuple[DataFrame, DataFrame]:
+    """Rows with the latest date of their id: those in buckets, and the others.
+
+    Inventory rows in buckets meet the dates in buckets where both lie.  Ids with very many
+    rows in either table are few; their dates, one a row, are joined as a lookup.
+    """
+    usual = latest_by_id(activity.lying)
+    hot = latest_by_id(activity.loose.where(F.col("artifact_id").isNotNull()))
+    hot = hot.withColumnRenamed("act_date_by_id", "hot_date")
+    here = keyed(inventory.lying).join(usual, "item_id", "left")
+    loose = spread_join(keyed(inventory.loose), usual, ["item_id"])
+    found = []
+    small = fits_broadcast(hot)
+    for rows in (here, loose):
+        rows = lookup_join(rows, hot, ["item_id"], small=small)
+        latest = F.greatest("act_date_by_id", "hot_date")
+        found.append(rows.withColumn("act_date_by_id", latest).drop("hot_date"))
+    return found[0], found[1]
+
+
+def readiness_in_buckets(
+    inventory: Bucketed, activity: Bucketed, policy: DataFrame, as_of: datetime
+) -> DataFrame:
+    """The readiness table from tables that lie by item id.
+
+    All rows of an item are in one part, so each part is deduplicated by itself.  Where the
+    names are measured small and broadcast, the part in buckets is joined, judged and
+    deduplicated without a shuffle; else the join by name is the only one.
+    """
+    names = latest_by_name(activity.rows)
+    small = fits_broadcast(names)
+    parts = [
+        judged(lookup_join(part, names, ["ws_key", "name_key"], small=small), policy, as_of)
+        for part in dated_by_id(inventory, activity)
+    ]
+    report = parts[0].unionByName(parts[1])
+    return conform(report.withColumn("report_date", times.on(as_of)), READINESS)
+
+
 def readiness(inventory: DataFrame, activity: DataFrame, policy: DataFrame, as_of: datetime) -> DataFrame:
     """The readiness table."""
     report = assess(inventory, activity, policy, as_of)

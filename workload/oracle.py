@@ -424,6 +424,7 @@ QUERIES = {
     # Readiness.
     "readiness_report": "SELECT * FROM ready",
     "readiness_by_change": "SELECT * FROM ready",
+    "readiness_in_buckets": "SELECT * FROM ready",
     "policy_types": """SELECT item_type, count(*) AS item_count, max(retention_period_days) AS retention_days FROM inv
       WHERE NOT (item_type = 'LakehouseTable' AND regexp_matches(item_name, '/(Files|Tables|TableMaintenance)$'))
         AND NOT (item_type = 'LakehouseFile' AND contains(item_name, '/Files/Tables/')) GROUP BY 1""",

@@ -14,6 +14,7 @@ from shelflife.operators import activity, adhoc, discovery, inventory, readiness
 from shelflife.plans import by_change, daily
 from shelflife.schemas import EVENTS, INVENTORY, READINESS, conform
 from shelflife.sources import events, listings, paths, scanner
+from shelflife.sources.buckets import write_buckets
 from shelflife.sources.store import Store, export_csv, read_export, scratch_folder, stage
 from shelflife.streaming.ingest import ingest_days, ingest_stream
 from workload import inputs
@@ -62,6 +63,19 @@ def stored_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readiness_report(spark, sf_dir)
 
 
+def readiness_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from inventory and summary that lie by item id."""
+    items, summary, policy = _tables(spark, sf_dir)
+    folder = scratch_folder(spark)
+    name = f"t{folder.rsplit('/', 1)[1]}"
+    buckets = spark.sparkContext.defaultParallelism
+    return readiness.readiness_in_buckets(
+        write_buckets(items, f"{name}_items", "item_id", buckets, folder, hot_rows=200),
+        write_buckets(summary, f"{name}_summary", "artifact_id", buckets, folder, hot_rows=200),
+        policy, AS_OF,
+    )
+
+
 def earlier_tables(spark: SparkSession, sf_dir: str, part: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three tables as they were some days before: of every ``part`` items one is missing,
     one has another name, one has vanished since; of every ``part`` artifacts one has no events
@@ -388,6 +402,7 @@ QUERIES: dict[str, Query] = {
     # Readiness.
     "readiness_report": readiness_report,
     "readiness_by_change": readiness_by_change,
+    "readiness_in_buckets": readiness_in_buckets,
     "policy_types": _over(inputs.inventory_table, readiness.discover_types),
     "policy_table": policy_table,
     "policy_override": policy_override,
