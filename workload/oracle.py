@@ -496,6 +496,7 @@ QUERIES = {
       (SELECT count(*) AS a FROM backfilled WHERE workspace_id <> '' AND coalesce(workspace_name, '') = '') y""",
     "activity_summary": "SELECT * FROM summ",
     "summary_incremental": "SELECT * FROM summ",
+    "summary_streamed": "SELECT * FROM full_summ",
     "activity_coverage": """SELECT min(event_date) AS earliest, max(event_date) AS latest,
       count(DISTINCT event_date) AS days_covered, count(DISTINCT artifact_id) AS unique_items, count(*) AS total_events FROM raw""",
     "activity_by_type": """SELECT artifact_type, count(*) AS items, max(last_modified_date) AS most_recent_modification,

@@ -17,6 +17,7 @@ from shelflife.sources import events, listings, paths, scanner
 from shelflife.sources.buckets import write_buckets
 from shelflife.sources.store import Store, export_csv, read_export, scratch_folder, stage
 from shelflife.streaming.ingest import ingest_days, ingest_stream
+from shelflife.streaming.summary import kept_summary, load_summary, run_summary_stream
 from workload import inputs
 from workload.inputs import AS_OF, DEFAULT_DAYS, POLICY
 
@@ -249,6 +250,35 @@ def summary_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.merge_activity_summaries(older, newer)
 
 
+def summary_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of a stream over four runs, each restarted from the checkpoint.
+
+    The second run finds pages of the first landed again, the third the pages of an early
+    day that come late, the fourth the rest and, once more, everything of the third.
+    """
+    folder = scratch_folder(spark)
+    # A page names its continuation, so that only a page landed again equals another.
+    uri = F.concat(F.lit(',"continuationUri":"'), F.col("page_seq.line").cast("string"), F.lit('"}'))
+    pages = inputs.event_pages(spark, sf_dir).select(
+        F.concat(F.regexp_replace("page", r"}\z", ""), uri).alias("value"), "event_date"
+    )
+    names = stage(_names(spark, sf_dir), f"{folder}/names")
+    kept = kept_summary(spark, f"{folder}/kept")
+    day, late = F.col("event_date"), F.col("event_date") == "2024-01-05"
+    landings = [
+        (day < "2024-01-10") & ~late,
+        (day >= "2024-01-08") & (day < "2024-01-20"),
+        late | ((day >= "2024-01-20") & (day < "2024-01-24")),
+        (day >= "2024-01-20") | late,
+    ]
+    for landing in landings:
+        pages.where(landing).write.mode("append").partitionBy("event_date").text(f"{folder}/landing")
+        run_summary_stream(
+            spark, f"{folder}/landing", names, kept, AS_OF, checkpoint=f"{folder}/progress"
+        )
+    return load_summary(kept)
+
+
 def activity_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = inputs.event_pages(spark, sf_dir)
     return activity.activity_range(activity.usable_events(pages, mail_dates=True))
@@ -440,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "backfill_accounting": backfill_accounting,
     "activity_summary": _summary,
     "summary_incremental": summary_incremental,
+    "summary_streamed": summary_streamed,
     "activity_coverage": _over(inputs.raw_events, reports.activity_coverage),
     "activity_by_type": _over(stored_summary, reports.activity_by_type),
     "activity_by_workspace": _over(stored_summary, reports.activity_by_workspace),
