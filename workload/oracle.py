@@ -538,6 +538,7 @@ QUERIES = {
     "workspace_derived": f"SELECT {INVENTORY} FROM derived_rows",
     "inventory_deduped": deduped("inv_rows", "producer, o1, o2, o3"),
     "lake_tables_by_path": "SELECT lakehouse_id, name, modified_ts FROM path_tables",
+    "lake_tables_by_change": "SELECT lakehouse_id, name, modified_ts FROM path_tables",
     "lake_tables_discovered": scored("lake_table_entries"),
     "lake_files": scored("lake_file_entries"),
     "warehouse_catalog": "SELECT * FROM objects",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelflife.functions import text, times
 from shelflife.operators import activity, adhoc, discovery, inventory, readiness, reports
-from shelflife.plans import by_change, daily
+from shelflife.plans import by_change, daily, paths_by_change
 from shelflife.schemas import EVENTS, INVENTORY, READINESS, conform
 from shelflife.sources import events, listings, paths, scanner
 from shelflife.sources.buckets import write_buckets
@@ -343,6 +343,22 @@ def lake_tables_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lake_tables_by_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables by path from the difference of two listings: of the older one, every ninth file had
+    not come yet, every eleventh had another date, and others lay in folders that are gone."""
+    folder = scratch_folder(spark)
+    new = stage(_paths(spark, sf_dir), f"{folder}/new")
+    draw = F.pmod(F.xxhash64("name", "seq"), F.lit(99))
+    date_then = F.when(draw % 11 == 0, F.date_sub("modified_ts", 30).cast("timestamp_ntz"))
+    older = new.withColumn("modified_ts", F.coalesce(date_then, "modified_ts")).where(draw % 9 != 0)
+    elsewhere = F.regexp_replace("name", "^Tables/(dbo|plain)", "Tables/before/$1")
+    older = stage(older.unionByName(new.where(draw == 5).withColumn("name", elsewhere)), f"{folder}/old")
+    kept = paths_by_change.kept_folders(spark, f"{folder}/kept")
+    paths_by_change.begin(kept, older, AS_OF - timedelta(days=1))
+    paths_by_change.update(kept, paths_by_change.listing_difference(older, new), lambda: new, AS_OF)
+    return paths_by_change.tables(kept).drop("seq")
+
+
 def lake_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lakehouses = _parents(spark, sf_dir, "Lakehouse", "lakehouse_id")
     return _scored(discovery.discover_lake_files(lakehouses, _paths(spark, sf_dir)))
@@ -507,6 +523,7 @@ QUERIES: dict[str, Query] = {
     "lake_tables_by_path": lambda spark, sf_dir: discovery.discovered_tables(
         _paths(spark, sf_dir)
     ).drop("seq"),
+    "lake_tables_by_change": lake_tables_by_change,
     "lake_tables_discovered": lake_tables_discovered,
     "lake_files": lake_files,
     "warehouse_catalog": lambda spark, sf_dir: discovery.catalog_objects(
