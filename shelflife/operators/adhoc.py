@@ -81,7 +81,11 @@ def inventory_by_type(inventory: DataFrame, limit: int | None = None) -> DataFra
 def latest_collection(raw: DataFrame, limit: int | None = None) -> DataFrame:
     """Rows of the newest collection run, newest event first."""
     newest = raw.agg(F.max("collection_date").alias("newest")).scalar()
-    rows = raw.where(F.col("collection_date") == newest)
+    return collected_rows(raw.where(F.col("collection_date") == newest), limit)
+
+
+def collected_rows(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """The same of rows that are known to be the newest collection's."""
     ordered = top(rows, F.desc("event_date"), F.desc("event_timestamp"), "artifact_id", limit=limit)
     return ordered.select(
         "event_date", "collection_date", "activity", "artifact_name", "workspace_name"
@@ -112,6 +116,15 @@ def not_modified_since(
 
 def item_events(raw: DataFrame, artifact_name: str, limit: int | None = None) -> DataFrame:
     rows = raw.where(F.col("artifact_name") == artifact_name)
+    return _events(rows, limit)
+
+
+def artifact_events(raw: DataFrame, artifact_id: str, limit: int | None = None) -> DataFrame:
+    """The same by artifact id, by which stored events lie."""
+    return _events(raw.where(F.col("artifact_id") == artifact_id), limit)
+
+
+def _events(rows: DataFrame, limit: int | None) -> DataFrame:
     ordered = top(rows, F.desc("event_timestamp"), "activity", "user_id", limit=limit)
     return ordered.select("event_date", "event_timestamp", "activity", "user_id")
 

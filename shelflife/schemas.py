@@ -50,6 +50,8 @@ DAYS = _schema(
     "event_date date, n_rows bigint, n_blank bigint, n_nameless bigint, line bigint"
 )
 LANDED_DAYS = _schema("event_date date")
+# Which days hold rows of which collection.
+COLLECTIONS = _schema("collection_date date, event_date date")
 
 # One landed page in source order, and one entry of a page in source order.
 PAGE_SEQ = "struct<file:string,block:bigint,line:bigint>"

@@ -10,6 +10,7 @@ values.  The same views in SQL are in ``workload/oracle.py``.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from datetime import datetime
 from functools import wraps
@@ -272,6 +273,41 @@ def path_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real folders and empty files, a table folder per part: some empty, some with a hidden
+    folder, which may be empty too.  Returns ``lakehouse_id`` and ``root`` of each brand's tree."""
+    top = scratch_folder(spark)
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size")
+    brand = F.replace(F.col("p_brand"), F.lit("#"), F.lit("-"))
+    own = F.concat(F.lit("Tables/dbo/t"), key)
+    names = F.array(
+        F.concat(own, F.lit("/")),
+        F.when(size % 5 != 0, F.concat(own, F.lit("/part-0.parquet"))),
+        F.when(size % 3 == 0, F.concat(own, F.lit("/_delta_log/"))),
+        F.when(size % 6 == 0, F.concat(own, F.lit("/_delta_log/0.json"))),
+        F.when(size % 4 == 0, F.concat(F.lit("Files/raw/"), key, F.lit(".csv"))),
+    )
+    rows = table(spark, sf_dir, "part").select(
+        F.concat_ws("/", F.lit(top), brand).alias("root"), F.explode(F.array_compact(names)).alias("name"),
+        (F.unix_timestamp(F.lit("2024-01-01 00:00:00")) + (F.col("p_partkey") % 8760) * 3600).alias("changed"),
+    )
+
+    def plant(batches):
+        for batch in batches:
+            for root, name, changed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                path = os.path.join(root, name)
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                if not name.endswith("/"):
+                    with open(path, "w"):
+                        pass
+                    os.utime(path, (changed, changed))
+            yield batch.select(["root"])
+
+    planted = rows.mapInArrow(plant, "root string").distinct()
+    ident = F.element_at(F.split("root", "/"), -1)
+    return spark.createDataFrame(planted.select(ident.alias("lakehouse_id"), "root").collect(), "lakehouse_id string, root string")
+
+
 @stored
 def warehouse_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.col("l_returnflag")

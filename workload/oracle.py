@@ -393,6 +393,11 @@ RELATIONS["rules"] = policy("inv")
 RELATIONS["report"] = assessed("inv", "summ", "rules")
 RELATIONS["ready"] = readiness("report")
 
+# A real tree: every part has a folder; the folders above exist where something lies in them.
+RELATIONS["tree"] = """
+SELECT replace(p_brand, '#', '-') AS lakehouse_id, p_partkey AS k, p_size AS s, 'Tables/dbo/t' || p_partkey AS own,
+       TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 HOUR * (p_partkey % 8760) AS changed FROM part"""
+
 RELATIONS["full_summ"] = summary("normalized")
 RELATIONS["full_rules"] = policy("built")
 RELATIONS["full_report"] = assessed("built", "full_summ", "full_rules")
@@ -511,6 +516,10 @@ QUERIES = {
     "rows_per_collection": "SELECT collection_date, count(*) AS row_count FROM raw GROUP BY 1",
     "latest_collection": """SELECT event_date, collection_date, activity, artifact_name, workspace_name FROM raw
       WHERE collection_date = (SELECT max(collection_date) FROM raw)""",
+    "newest_collection": """SELECT event_date, collection_date, activity, artifact_name, workspace_name FROM normalized
+      WHERE event_date >= DATE '2024-01-16'""",
+    "item_events_stored": """SELECT event_date, event_timestamp, activity, user_id FROM normalized
+      WHERE artifact_name = 'Customer#000000077'""",
     "summary_newest": "SELECT workspace_name, artifact_type, artifact_name, last_modified_date, modification_count FROM summ",
     "modified_last_days": f"""SELECT workspace_name, artifact_type, artifact_name, last_modified_date, modification_count
       FROM summ WHERE last_modified_date >= {TODAY} - 20""",
@@ -524,6 +533,16 @@ QUERIES = {
       'My workspace (' || CASE WHEN owner = '' THEN 'unknown' ELSE owner END || ')' AS workspace_name FROM personal""",
     "workspace_names": "SELECT * FROM names",
     "scanner_dates": "SELECT * FROM scan",
+    "stored_tree": """SELECT lakehouse_id, own AS name, true AS is_dir, CAST(NULL AS TIMESTAMP) AS modified_ts FROM tree
+      UNION ALL SELECT DISTINCT lakehouse_id, unnest(['Tables', 'Tables/dbo']), true, NULL FROM tree
+      UNION ALL SELECT lakehouse_id, own || '/part-0.parquet', false, changed FROM tree WHERE s % 5 <> 0
+      UNION ALL SELECT lakehouse_id, own || '/_delta_log', true, NULL FROM tree WHERE s % 3 = 0
+      UNION ALL SELECT lakehouse_id, own || '/_delta_log/0.json', false, changed FROM tree WHERE s % 6 = 0
+      UNION ALL SELECT DISTINCT lakehouse_id, unnest(['Files', 'Files/raw']), true, NULL FROM tree WHERE s % 4 = 0
+      UNION ALL SELECT lakehouse_id, 'Files/raw/' || k || '.csv', false, changed FROM tree WHERE s % 4 = 0""",
+    "stored_tree_tables": """SELECT DISTINCT lakehouse_id, 't' || k AS name FROM tree t
+      WHERE EXISTS (SELECT 1 FROM tree o WHERE o.lakehouse_id = t.lakehouse_id AND o.s % 5 <> 0)
+      UNION SELECT lakehouse_id, 'dbo' FROM tree GROUP BY 1 HAVING bool_and(s % 5 = 0)""",
     "lake_tables_listed": "SELECT lakehouse_id, name, type, format, modified_ts FROM listed",
     "path_listing": "SELECT lakehouse_id, name, is_dir, modified_ts FROM pth",
     # Inventory.

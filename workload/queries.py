@@ -16,7 +16,7 @@ from shelflife.schemas import EVENTS, INVENTORY, READINESS, conform
 from shelflife.sources import events, listings, paths, scanner
 from shelflife.sources.buckets import write_buckets
 from shelflife.sources.store import Store, export_csv, read_export, scratch_folder, stage
-from shelflife.streaming.ingest import ingest_days, ingest_stream
+from shelflife.streaming.ingest import ingest_days, ingest_stream, newest_collection
 from shelflife.streaming.summary import kept_summary, load_summary, run_summary_stream
 from workload import inputs
 from workload.inputs import AS_OF, DEFAULT_DAYS, POLICY
@@ -232,6 +232,26 @@ def ingest_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(store.load("raw"), EVENTS)
 
 
+def _two_collections(spark: SparkSession, sf_dir: str) -> Store:
+    """Days of the first half collected some days before the others."""
+    store = Store(spark, scratch_folder(spark))
+    pages, names = inputs.event_pages(spark, sf_dir), _names(spark, sf_dir)
+    first_half = pages.where(F.col("event_date") < "2024-01-16")
+    ingest_days(first_half, names, store, AS_OF - timedelta(days=10), lookback_days=60)
+    ingest_days(pages, names, store, AS_OF, lookback_days=60)
+    return store
+
+
+def newest_collection_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest collection, found by the days noted for it."""
+    return adhoc.collected_rows(newest_collection(_two_collections(spark, sf_dir)))
+
+
+def item_events_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One item's events from the stored days, which skip files and pages without it."""
+    return adhoc.item_events(_two_collections(spark, sf_dir).load("raw"), "Customer#000000077")
+
+
 def name_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.backfill_names(inputs.raw_events(spark, sf_dir), _names(spark, sf_dir))
 
@@ -359,6 +379,21 @@ def lake_tables_by_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paths_by_change.tables(kept).drop("seq")
 
 
+def _planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paths.stored_tree(inputs.planted_tree(spark, sf_dir), scratch_folder(spark))
+
+
+def stored_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and folders of a real tree; folders change whenever something is put into them."""
+    dated = F.when(~F.col("is_dir"), F.col("modified_ts"))
+    return _planted(spark, sf_dir).withColumn("modified_ts", dated).drop("seq")
+
+
+def stored_tree_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables that discovery sees in the same tree, empty ones included."""
+    return discovery.discovered_tables(_planted(spark, sf_dir)).select("lakehouse_id", "name")
+
+
 def lake_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lakehouses = _parents(spark, sf_dir, "Lakehouse", "lakehouse_id")
     return _scored(discovery.discover_lake_files(lakehouses, _paths(spark, sf_dir)))
@@ -495,6 +530,8 @@ QUERIES: dict[str, Query] = {
     "daily_volume": _over(inputs.raw_events, reports.daily_volume),
     "rows_per_collection": _over(inputs.raw_events, reports.rows_per_collection),
     "latest_collection": _over(inputs.raw_events, adhoc.latest_collection),
+    "newest_collection": newest_collection_rows,
+    "item_events_stored": item_events_stored,
     "summary_newest": _over(stored_summary, adhoc.newest_first),
     "modified_last_days": _over(stored_summary, adhoc.modified_since, AS_OF, 20),
     "stale_items": _over(stored_summary, adhoc.not_modified_since, AS_OF, 20),
@@ -509,6 +546,8 @@ QUERIES: dict[str, Query] = {
     ).drop("seq"),
     "workspace_names": _names,
     "scanner_dates": _over(inputs.scanner_pages, scanner.scanner_dates),
+    "stored_tree": stored_tree,
+    "stored_tree_tables": stored_tree_tables,
     "lake_tables_listed": lambda spark, sf_dir: _listed(spark, sf_dir).drop("seq"),
     "path_listing": lambda spark, sf_dir: _paths(spark, sf_dir).drop("seq"),
     # Inventory.
