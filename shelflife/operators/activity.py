@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelflife.functions import fixed, text, times
@@ -13,9 +13,17 @@ from shelflife.schemas import EVENTS, conform
 from shelflife.sources.events import parsed_events
 
 
-def usable_events(pages: DataFrame, mail_dates: bool = False) -> DataFrame:
-    """Parsed events with a time, an artifact id and a modifying activity."""
-    return parsed_events(pages, mail_dates).where(
+def usable_events(
+    pages: DataFrame, mail_dates: bool = False, seen: Observation | None = None
+) -> DataFrame:
+    """Parsed events with a time, an artifact id and a modifying activity.
+
+    ``seen`` counts all events, also those left out, when the result is written.
+    """
+    events = parsed_events(pages, mail_dates)
+    if seen is not None:
+        events = events.observe(seen, *_counts()[:-1])
+    return events.where(
         F.col("event_timestamp").isNotNull()
         & F.col("artifact_id").isNotNull()
         & text.modifies(F.col("activity"))
@@ -23,28 +31,42 @@ def usable_events(pages: DataFrame, mail_dates: bool = False) -> DataFrame:
 
 
 def normalize_events(
-    pages: DataFrame, workspace_names: DataFrame, as_of: datetime, mask_personal: bool = True
+    pages: DataFrame,
+    workspace_names: DataFrame,
+    as_of: datetime,
+    mask_personal: bool = True,
+    seen: Observation | None = None,
+    named: Observation | None = None,
 ) -> DataFrame:
     """Modification events ready to append to the raw table.
 
     The workspace name comes from the event, else from the lookup by workspace id,
-    else it is the personal label.  ``event_date`` is the requested day.
+    else it is the personal label.  ``event_date`` is the requested day.  ``seen`` and
+    ``named`` count, when the result is written, what was parsed and where names came from.
     """
-    named = resolve_names(usable_events(pages), workspace_names, mask_personal)
-    return conform(named.withColumn("collection_date", times.on(as_of)), EVENTS)
+    events = resolve_names(usable_events(pages, seen=seen), workspace_names, mask_personal, named)
+    return conform(events.withColumn("collection_date", times.on(as_of)), EVENTS)
 
 
 def resolve_names(
-    events: DataFrame, workspace_names: DataFrame, mask_personal: bool = True
+    events: DataFrame,
+    workspace_names: DataFrame,
+    mask_personal: bool = True,
+    named: Observation | None = None,
 ) -> DataFrame:
     """``workspace_name`` from the event, else the lookup, else the personal label."""
-    found = text.blank_to_null(F.col("lookup_name"))
+    own, found = text.blank_to_null(F.col("workspace_name")), text.blank_to_null(F.col("lookup_name"))
     fallback = F.lit(fixed.PERSONAL_LABEL) if mask_personal else _label_by_user()
     lookup = workspace_names.select("workspace_id", F.col("workspace_name").alias("lookup_name"))
-    return lookup_join(events, lookup, ["workspace_id"]).withColumn(
-        "workspace_name",
-        F.coalesce(text.blank_to_null(F.col("workspace_name")), found, fallback),
-    )
+    joined = lookup_join(events, lookup, ["workspace_id"])
+    if named is not None:
+        joined = joined.observe(
+            named,
+            F.count_if(own.isNotNull()).alias("named_by_event"),
+            F.count_if(own.isNull() & found.isNotNull()).alias("named_by_lookup"),
+            F.count_if(own.isNull() & found.isNull()).alias("named_by_label"),
+        )
+    return joined.withColumn("workspace_name", F.coalesce(own, found, fallback))
 
 
 def _label_by_user():
@@ -54,28 +76,35 @@ def _label_by_user():
     ).otherwise(text.personal_label(F.col("user_id"), masked=False))
 
 
-def collection_counters(
-    pages: DataFrame, workspace_names: DataFrame, mask_personal: bool = True
-) -> DataFrame:
-    """What the collector dropped, kept and could name, in one pass.
+def _counts():
+    """What the collector counts of parsed events.
 
     An event counts as raw once it has a time text and an id, before its time is parsed.
+    A kept event always has a name, as the label is none.
     """
     timed = F.col("raw_time").isNotNull()
     identified = timed & F.col("artifact_id").isNotNull()
     read_only = text.is_read_only(F.col("activity"))
     kept = identified & ~read_only & F.col("event_timestamp").isNotNull()
-    events = resolve_names(parsed_events(pages), workspace_names, mask_personal)
-    unnamed = text.is_blank(F.col("workspace_name"))
-    return events.agg(
+    return [
         F.count_if(identified).alias("raw_events"),
         F.count_if(identified & read_only).alias("read_only_excluded"),
         F.count_if(kept).alias("kept"),
         F.count_if(identified & ~F.col("has_direct_id")).alias("recovered_by_fallback"),
         F.count_if(timed & F.col("artifact_id").isNull()).alias("dropped_without_id"),
-        F.count_if(kept & ~unnamed).alias("named"),
-        F.count_if(kept & unnamed).alias("unnamed"),
-    )
+        F.count_if(kept).alias("named"),
+        F.lit(0).cast("bigint").alias("unnamed"),
+    ]
+
+
+def collection_counters(pages: DataFrame) -> DataFrame:
+    """What the collector drops, keeps and can name, in one pass over landed pages.
+
+    A run that collects gives the same numbers without a pass of their own, see
+    :func:`~shelflife.streaming.ingest.ingest_days`.
+    """
+    *counts, unnamed = _counts()
+    return parsed_events(pages).agg(*counts).withColumn("unnamed", unnamed)
 
 
 def lookup_counters(pages: DataFrame) -> DataFrame:

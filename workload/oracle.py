@@ -471,6 +471,18 @@ QUERIES = {
       count(*) FILTER (k <> 13 AND found_id IS NULL) AS dropped_without_id,
       count(*) FILTER (ided AND event_type <> 'view' AND iso_ts IS NOT NULL) AS named, CAST(0 AS BIGINT) AS unnamed
       FROM (SELECT *, k <> 13 AND found_id IS NOT NULL AS ided FROM ev)""",
+    "ingest_counters": """SELECT count(*) FILTER (ided) AS raw_events,
+      count(*) FILTER (ided AND event_type = 'view') AS read_only_excluded,
+      count(*) FILTER (ided AND event_type <> 'view' AND iso_ts IS NOT NULL) AS kept,
+      count(*) FILTER (ided AND event_type NOT IN ('click', 'view')) AS recovered_by_fallback,
+      count(*) FILTER (k <> 13 AND found_id IS NULL) AS dropped_without_id,
+      count(*) FILTER (ided AND event_type <> 'view' AND iso_ts IS NOT NULL) AS named, CAST(0 AS BIGINT) AS unnamed,
+      count(*) FILTER (used AND k >= 30 AND n_name <> '') AS named_by_event,
+      count(*) FILTER (used AND NOT coalesce(k >= 30 AND n_name <> '', false) AND coalesce(l.workspace_name, '') <> '') AS named_by_lookup,
+      count(*) FILTER (used AND NOT coalesce(k >= 30 AND n_name <> '', false) AND coalesce(l.workspace_name, '') = '') AS named_by_label
+      FROM (SELECT *, k <> 13 AND found_id IS NOT NULL AS ided,
+        found_id IS NOT NULL AND iso_ts IS NOT NULL AND event_type <> 'view' AS used FROM ev) e
+      LEFT JOIN names l ON l.workspace_id = ws_id""",
     "lookup_counters": """SELECT count(*) FILTER (total) AS total_events,
       count(*) FILTER (total AND event_type = 'view') AS read_only_excluded,
       count(*) FILTER (total AND event_type <> 'view') AS modification_events,

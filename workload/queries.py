@@ -16,7 +16,7 @@ from shelflife.schemas import EVENTS, INVENTORY, READINESS, conform
 from shelflife.sources import events, listings, paths, scanner
 from shelflife.sources.buckets import write_buckets
 from shelflife.sources.store import Store, export_csv, read_export, scratch_folder, stage
-from shelflife.streaming.ingest import ingest_days, ingest_stream, newest_collection
+from shelflife.streaming.ingest import COUNTERS, ingest_days, ingest_stream, newest_collection
 from shelflife.streaming.summary import kept_summary, load_summary, run_summary_stream
 from workload import inputs
 from workload.inputs import AS_OF, DEFAULT_DAYS, POLICY
@@ -174,6 +174,18 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(store.load("raw"), EVENTS)
 
 
+def ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs counted while they wrote, added up."""
+    store, names = Store(spark, scratch_folder(spark)), _names(spark, sf_dir)
+    pages = inputs.event_pages(spark, sf_dir)
+    first, second = {}, {}
+    first_half = pages.where(F.col("event_date") < "2024-01-16")
+    ingest_days(first_half, names, store, AS_OF, lookback_days=60, counters=first)
+    ingest_days(pages, names, store, AS_OF, lookback_days=60, counters=second)
+    row = tuple(first[name] + second[name] for name in COUNTERS)
+    return spark.createDataFrame([row], ", ".join(f"{name} bigint" for name in COUNTERS))
+
+
 def streamed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through a file stream over landed pages."""
     folder = scratch_folder(spark)
@@ -502,9 +514,8 @@ QUERIES: dict[str, Query] = {
     # Activity.
     "events_normalized": events_normalized,
     "events_unmasked": events_unmasked,
-    "collection_counters": lambda spark, sf_dir: activity.collection_counters(
-        inputs.event_pages(spark, sf_dir), _names(spark, sf_dir)
-    ),
+    "collection_counters": _over(inputs.event_pages, activity.collection_counters),
+    "ingest_counters": ingest_counters,
     "lookup_counters": _over(inputs.event_pages, activity.lookup_counters),
     "guid_extract": guid_extract,
     "time_parse_iso": time_parse_iso,
