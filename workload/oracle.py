@@ -606,4 +606,11 @@ QUERIES = {
     "full_run_by_change": readiness("full_report"),
 }
 
+# The same queries through SQL functions.
+for function, query in {
+    "sql_overdue": "adhoc_overdue", "sql_by_type": "adhoc_by_type", "sql_latest_collection": "latest_collection",
+    "sql_item_events": "item_events", "sql_stale_items": "stale_items", "sql_exceeding": "readiness_all_overdue",
+}.items():
+    QUERIES[function] = QUERIES[query]
+
 ORACLE = {name: with_relations(sql) for name, sql in QUERIES.items()}

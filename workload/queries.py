@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelflife.functions import text, times
 from shelflife.operators import activity, adhoc, discovery, inventory, readiness, reports
-from shelflife.plans import by_change, daily, paths_by_change
+from shelflife.plans import by_change, daily, paths_by_change, sql
 from shelflife.schemas import EVENTS, INVENTORY, READINESS, conform
 from shelflife.sources import events, listings, paths, scanner
 from shelflife.sources.buckets import write_buckets
@@ -487,6 +487,28 @@ def full_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(store.load("inventory"), INVENTORY)
 
 
+def sql_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables that the SQL functions read."""
+    return {
+        "inventory": inputs.inventory_table(spark, sf_dir),
+        "raw": inputs.raw_events(spark, sf_dir),
+        "activity": stored_summary(spark, sf_dir),
+        "readiness": stored_readiness(spark, sf_dir),
+    }
+
+
+def _by_sql(call: str, table: str) -> Query:
+    """A call of a table function over one stored table."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = Store(spark, scratch_folder(spark))
+        store.overwrite(sql_tables(spark, sf_dir)[table], table)
+        sql.register(spark, store)
+        return spark.sql(f"SELECT * FROM {call}")
+
+    return query
+
+
 def _over(source: Query, operator: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, sf_dir: operator(source(spark, sf_dir), *args)
 
@@ -592,6 +614,13 @@ QUERIES: dict[str, Query] = {
     "adhoc_overdue": _over(inputs.inventory_table, adhoc.overdue_items),
     "adhoc_unknown_age": _over(inputs.inventory_table, adhoc.unknown_age),
     "adhoc_undated": _over(inputs.inventory_table, adhoc.undated_items),
+    # The ad-hoc queries through SQL functions, one of each family.
+    "sql_overdue": _by_sql("retention_overdue()", "inventory"),
+    "sql_by_type": _by_sql("retention_by_type()", "inventory"),
+    "sql_latest_collection": _by_sql("activity_latest_collection()", "raw"),
+    "sql_item_events": _by_sql("activity_of_item('Customer#000000077')", "raw"),
+    "sql_stale_items": _by_sql("activity_not_modified_since(DATE '2024-02-15', 20)", "activity"),
+    "sql_exceeding": _by_sql("readiness_exceeding()", "readiness"),
     # Sinks and the whole job.
     "snapshot_roundtrip": snapshot_roundtrip,
     "export_report": export_report,
