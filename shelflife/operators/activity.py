@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from shelflife.functions import fixed, text, times
 from shelflife.operators.joins import lookup_join
-from shelflife.schemas import EVENTS, conform
-from shelflife.sources.events import parsed_events
+from shelflife.schemas import EVENTS, EXTRA, conform
+from shelflife.sources.events import parsed_events, parsed_variants, unlisted_fields
 
 
 def usable_events(
@@ -23,13 +23,22 @@ def usable_events(
     events = parsed_events(pages, mail_dates)
     if seen is not None:
         events = events.observe(seen, *_counts()[:-1])
-    return events.where(
+    return events.where(_usable())
+
+
+def _usable():
+    return (
         F.col("event_timestamp").isNotNull()
         & F.col("artifact_id").isNotNull()
         & text.modifies(F.col("activity"))
     )
 
 
+def extra_fields(pages: DataFrame) -> DataFrame:
+    """The fields of usable events that no spelling lists, ready to append to their table."""
+    return conform(unlisted_fields(parsed_variants(pages).where(_usable())), EXTRA)
+
+
 def normalize_events(
     pages: DataFrame,
     workspace_names: DataFrame,

@@ -50,6 +50,8 @@ DAYS = _schema(
     "event_date date, n_rows bigint, n_blank bigint, n_nameless bigint, line bigint"
 )
 LANDED_DAYS = _schema("event_date date")
+# Fields of kept events that no spelling lists, one row each.
+EXTRA = _schema("event_date date, event_timestamp timestamp_ntz, artifact_id string, key string, value string")
 # Which days hold rows of which collection.
 COLLECTIONS = _schema("collection_date date, event_date date")
 

@@ -24,6 +24,7 @@ TABLE_NAMES = {
     "days": "activity_days",
     "landed_days": "activity_landed_days",
     "collections": "activity_collections",
+    "extra": "activity_events_extra",
 }
 
 # Events lie by artifact inside a day, so a lookup skips pages by their bounds; Bloom filters

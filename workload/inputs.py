@@ -447,6 +447,26 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
+def wider_event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages with fields that no spelling lists: text, a number, an object, a flag, a null."""
+    n = F.col("page_seq.line")
+
+    def every(step: int, rest: int, *parts) -> Column:
+        return F.when(n % step == rest, F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts]))
+
+    fields = F.concat_ws(
+        "",
+        every(4, 0, ',"ClientIP":"10.0.', (n % 256).cast("string"), '.1"'),
+        every(4, 1, ',"Props":{"n":', (n % 7).cast("string"), ',"tags":["a","b"]}'),
+        every(4, 2, ',"Duration":', (n % 100).cast("string"), ".5"),
+        every(5, 0, ',"Ok":true'),
+        every(6, 0, ',"Nothing":null'),
+    )
+    wider = F.concat(F.regexp_replace("page", r"\}\]\}\z", ""), fields, F.lit("}]}"))
+    return event_pages(spark, sf_dir).withColumn("page", wider)
+
+
 @stored
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored raw table: modification events, some with the workspace name still blank."""

@@ -393,6 +393,15 @@ RELATIONS["rules"] = policy("inv")
 RELATIONS["report"] = assessed("inv", "summ", "rules")
 RELATIONS["ready"] = readiness("report")
 
+# The fields of events that no spelling lists.
+RELATIONS["wider"] = """
+SELECT *, CAST('{' || substr(
+    CASE WHEN event_id % 4 = 0 THEN ',"ClientIP":"10.0.' || event_id % 256 || '.1"' ELSE '' END
+    || CASE WHEN event_id % 4 = 1 THEN ',"Props":{"n":' || event_id % 7 || ',"tags":["a","b"]}' ELSE '' END
+    || CASE WHEN event_id % 4 = 2 THEN ',"Duration":' || event_id % 100 || '.5' ELSE '' END
+    || CASE WHEN event_id % 5 = 0 THEN ',"Ok":true' ELSE '' END
+    || CASE WHEN event_id % 6 = 0 THEN ',"Nothing":null' ELSE '' END, 2) || '}' AS JSON) AS fields FROM ev"""
+
 # A real tree: every part has a folder; the folders above exist where something lies in them.
 RELATIONS["tree"] = """
 SELECT replace(p_brand, '#', '-') AS lakehouse_id, p_partkey AS k, p_size AS s, 'Tables/dbo/t' || p_partkey AS own,
@@ -458,6 +467,11 @@ QUERIES = {
     "readiness_all_undated": "SELECT workspace_name, item_name, item_type FROM report WHERE last_modified_date IS NULL",
     # Activity.
     "events_normalized": "SELECT * FROM normalized",
+    "events_unlisted_fields": """SELECT event_date, found_id AS artifact_id, key, json_extract_string(fields, '$.' || key) AS value
+      FROM (SELECT event_date, found_id, fields, unnest(json_keys(fields)) AS key FROM wider)""",
+    "events_by_variant": """SELECT event_date, found_id AS artifact_id, act AS activity,
+      json_extract_string(fields, '$.ClientIP') AS "ClientIP", CAST(json_extract_string(fields, '$.Duration') AS DOUBLE) AS "Duration",
+      CAST(json_extract_string(fields, '$.Ok') AS BOOLEAN) AS "Ok" FROM wider""",
     "events_unmasked": f"""SELECT event_date, iso_ts AS event_timestamp, act AS activity, found_id AS artifact_id,
       coalesce(c_name, '') AS artifact_name, kind AS artifact_type, ws_id AS workspace_id,
       coalesce(nullif(CASE WHEN k >= 30 THEN n_name END, ''), l.workspace_name, 'My workspace (' || user_id || ')') AS workspace_name,

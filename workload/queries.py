@@ -126,6 +126,19 @@ def events_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.normalize_events(pages, _names(spark, sf_dir), AS_OF)
 
 
+def events_unlisted_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of events beyond the listed spellings, by event and name."""
+    pages = inputs.wider_event_pages(spark, sf_dir)
+    return events.unlisted_fields(events.parsed_variants(pages)).drop("seq")
+
+
+def events_by_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed fields from the variant, and three of the others by type."""
+    parsed = events.parsed_variants(inputs.wider_event_pages(spark, sf_dir))
+    typed = events.with_fields(parsed, {"ClientIP": "string", "Duration": "double", "Ok": "boolean"})
+    return typed.select("event_date", "artifact_id", "activity", "ClientIP", "Duration", "Ok")
+
+
 def events_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of personal workspaces that no listing names carry their user's name."""
     pages = inputs.event_pages(spark, sf_dir)
@@ -535,6 +548,8 @@ QUERIES: dict[str, Query] = {
     "readiness_all_undated": _over(stored_readiness, adhoc.unassessable_items),
     # Activity.
     "events_normalized": events_normalized,
+    "events_unlisted_fields": events_unlisted_fields,
+    "events_by_variant": events_by_variant,
     "events_unmasked": events_unmasked,
     "collection_counters": _over(inputs.event_pages, activity.collection_counters),
     "ingest_counters": ingest_counters,
