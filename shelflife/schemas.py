@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "string": T.StringType(), "date": T.DateType(), "int": T.IntegerType(),
-    "bigint": T.LongType(), "boolean": T.BooleanType(), "timestamp_ntz": T.TimestampNTZType(),
+    "bigint": T.LongType(), "boolean": T.BooleanType(), "binary": T.BinaryType(), "timestamp_ntz": T.TimestampNTZType(),
 }
 
 
@@ -50,6 +50,9 @@ DAYS = _schema(
     "event_date date, n_rows bigint, n_blank bigint, n_nameless bigint, line bigint"
 )
 LANDED_DAYS = _schema("event_date date")
+# A number per artifact, without gaps, and the artifacts of a day as bits by number.
+NUMBERS = _schema("artifact_id string, number bigint")
+BITMAPS = _schema("event_date date, line bigint, bucket bigint, bits binary")
 # Fields of kept events that no spelling lists, one row each.
 EXTRA = _schema("event_date date, event_timestamp timestamp_ntz, artifact_id string, key string, value string")
 # Which days hold rows of which collection.

@@ -25,6 +25,8 @@ TABLE_NAMES = {
     "landed_days": "activity_landed_days",
     "collections": "activity_collections",
     "extra": "activity_events_extra",
+    "numbers": "activity_artifact_numbers",
+    "bitmaps": "activity_day_bitmaps",
 }
 
 # Events lie by artifact inside a day, so a lookup skips pages by their bounds; Bloom filters
@@ -143,9 +145,9 @@ class Store:
         else:
             writer.save(self._where(table))
 
-    def append(self, rows: DataFrame, table: str) -> None:
-        """Append a few rows as one file."""
-        writer = rows.coalesce(1).write.format(self.fmt).mode("append")
+    def append(self, rows: DataFrame, table: str, few: bool = True) -> None:
+        """Append rows, as one file if they are few."""
+        writer = (rows.coalesce(1) if few else rows).write.format(self.fmt).mode("append")
         if self.root is None:
             writer.saveAsTable(self._where(table))
         else:

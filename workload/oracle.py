@@ -530,6 +530,8 @@ QUERIES = {
     "summary_streamed": "SELECT * FROM full_summ",
     "activity_coverage": """SELECT min(event_date) AS earliest, max(event_date) AS latest,
       count(DISTINCT event_date) AS days_covered, count(DISTINCT artifact_id) AS unique_items, count(*) AS total_events FROM raw""",
+    "coverage_by_bitmaps": """SELECT min(event_date) AS earliest, max(event_date) AS latest,
+      count(DISTINCT event_date) AS days_covered, count(DISTINCT artifact_id) AS unique_items, count(*) AS total_events FROM normalized""",
     "activity_by_type": """SELECT artifact_type, count(*) AS items, max(last_modified_date) AS most_recent_modification,
       CAST(trunc(avg(modification_count)) AS INTEGER) AS avg_modifications FROM summ GROUP BY 1""",
     "activity_by_workspace": """SELECT workspace_name, count(*) AS items,

@@ -16,6 +16,7 @@ from shelflife.schemas import EVENTS, INVENTORY, READINESS, conform
 from shelflife.sources import events, listings, paths, scanner
 from shelflife.sources.buckets import write_buckets
 from shelflife.sources.store import Store, export_csv, read_export, scratch_folder, stage
+from shelflife.streaming.coverage import coverage, extend_bitmaps
 from shelflife.streaming.ingest import COUNTERS, ingest_days, ingest_stream, newest_collection
 from shelflife.streaming.summary import kept_summary, load_summary, run_summary_stream
 from workload import inputs
@@ -272,6 +273,16 @@ def newest_collection_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adhoc.collected_rows(newest_collection(_two_collections(spark, sf_dir)))
 
 
+def coverage_by_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage from the lines and bitmaps of days, extended after each of two runs."""
+    store = Store(spark, scratch_folder(spark))
+    pages, names = inputs.event_pages(spark, sf_dir), _names(spark, sf_dir)
+    for landed in (pages.where(F.col("event_date") < "2024-01-16"), pages):
+        ingest_days(landed, names, store, AS_OF, lookback_days=60)
+        extend_bitmaps(store)
+    return coverage(store)
+
+
 def item_events_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One item's events from the stored days, which skip files and pages without it."""
     return adhoc.item_events(_two_collections(spark, sf_dir).load("raw"), "Customer#000000077")
@@ -571,6 +582,7 @@ QUERIES: dict[str, Query] = {
     "summary_incremental": summary_incremental,
     "summary_streamed": summary_streamed,
     "activity_coverage": _over(inputs.raw_events, reports.activity_coverage),
+    "coverage_by_bitmaps": coverage_by_bitmaps,
     "activity_by_type": _over(stored_summary, reports.activity_by_type),
     "activity_by_workspace": _over(stored_summary, reports.activity_by_workspace),
     "activity_distribution": _over(inputs.raw_events, reports.activity_distribution, 15),
