@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -67,10 +68,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[application]
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below the shared folder."""
-    shared = shared_folder(spark)
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder below the shared folder; what is left of it goes when the driver ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    _scratch.append((spark, folder))
+    return folder
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    for spark, folder in _scratch:
+        try:
+            remove(spark, folder)
+        except Exception:  # the session has ended, or the folder cannot be removed: try the next
+            continue
 
 
 def remove(spark: SparkSession, folder: str) -> None:
@@ -87,6 +101,7 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         remove(spark, folder)
+        _scratch.remove((spark, folder))
 
 
 def stage(rows: DataFrame, folder: str) -> DataFrame:
