@@ -186,3 +186,10 @@ def test_missing_activity_leaves_the_other_sources(spark):
 def test_empty_inventory(spark, source):
     found = readiness.readiness(empty(spark, source), empty(spark, ACTIVITY), policy(spark, T=1), AS_OF)
     assert found.columns == READINESS.fieldNames() and found.count() == 0
+
+
+def test_untyped_rows_with_a_system_name_go(spark):
+    """NOT of an unknown is no yes: such a row is dropped, as an untyped row of another name is not."""
+    names = ["a/Files", "a/Tables", "a/TableMaintenance", "a/Files/Tables/b", "a/Filesx", "plain"]
+    rows = report(spark, [("w", name, None, str(n), None, None) for n, name in enumerate(names)])
+    assert set(rows) == {"a/Filesx", "plain"}
