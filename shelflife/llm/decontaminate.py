@@ -4,9 +4,11 @@ Texts and benchmark items are cut into words.  Of every ``w`` consecutive k-gram
 words the smallest hash is kept (winnowing); with ``k + w - 1 = window`` any shared
 run of ``window`` words holds a k-gram that both sides keep, because the kept one
 depends on the run alone.  The kept hashes of the documents are joined with those of
-the items, and every hit is extended word by word to both sides; runs of ``window``
-words or more are contamination.  Items shorter than ``window`` words are one window
-each, found by winnowing with ``k`` = their length and ``w`` = 1.
+the items, and every hit is extended to both sides: each run of ``window`` words around
+it is looked up among the items' distinct windows and compared word by word.  Items shorter
+than ``window`` words are one window each, found by winnowing with ``k`` = their length and
+``w`` = 1.  A gram that repeats on both sides thus costs the sum of its places, not
+their product.
 
 The items are a stated query set: they are read in blocks of bounded bytes, each
 block's table of kept hashes is broadcast, and the documents pass block after block
@@ -40,7 +42,7 @@ from shelflife.llm.shared import (
 WINDOW = 13
 GRAM = 7
 BLOCK_BYTES = 16 * 1024 * 1024
-PAIRS = 1 << 20  # (word of a text, word of an item) extended at a time
+PAIRS = 1 << 20  # (text, item) listed at a time
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 # Words are ASCII letters and digits and everything beyond ASCII, A-Z in lower case.
@@ -78,7 +80,12 @@ def winnow(grams: np.ndarray, w: int) -> np.ndarray:
 
 
 class Block:
-    """Winnowed fingerprints of some items: their hashes, places and words."""
+    """Winnowed fingerprints of some items: their kept hashes, and their distinct windows.
+
+    Equal windows are one window, whatever the number of items that hold it, and equal
+    lists of items are one list; so a phrase that repeats within an item or in many items
+    costs a document one lookup.
+    """
 
     def __init__(self, items: list[tuple[int | None, str]], window: int, gram: int):
         by_text: dict[bytes, list[int]] = {}
@@ -91,66 +98,82 @@ class Block:
         bounds = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(x) for x in texts], out=bounds[1:])
         flat = np.frombuffer(b"".join(texts), np.uint8)
-        self.words, self.firsts = word_hashes(flat, bounds)
-        self.window = window
-        lengths = np.diff(self.firsts)
+        self.words, firsts = word_hashes(flat, bounds)
+        lengths = np.diff(firsts)
         own = np.repeat(np.arange(len(texts)), lengths)
-        self.owner = own
+        groups: dict[bytes, int] = {}  # lists of several texts, as bytes
         self.tables = []
         for m in sorted({int(x) for x in lengths if 0 < x < window}) + [window]:
             k, w = (min(gram, m), m - min(gram, m) + 1) if m == window else (m, 1)
-            grams = whole_grams(self.words, self.firsts, k)
+            grams = whole_grams(self.words, firsts, k)
             fits = lengths[own] >= window if m == window else lengths[own] == m
             at = winnow(grams, w)
-            at = at[fits[at]]
-            order = np.argsort(grams[at], kind="stable")
-            hashes, at = grams[at][order], at[order]
+            kept = np.unique(grams[at[fits[at]]])
+            if not len(kept):
+                continue
             seen = np.zeros(1 << 16, bool)
-            seen[hashes >> np.uint64(48)] = True
-            if len(at):
-                self.tables.append((m, k, w, hashes, at, seen))
+            seen[kept >> np.uint64(48)] = True
+            whole = whole_grams(self.words, firsts, m) if m > k else grams
+            at = np.flatnonzero(fits & (whole != _NONE))
+            at = at[np.lexsort((own[at], whole[at]))]
+            hashes, texts_of = whole[at], own[at]
+            new = np.ones(len(at), bool)
+            new[1:] = (hashes[1:] != hashes[:-1]) | (texts_of[1:] != texts_of[:-1])
+            at, hashes, texts_of = at[new], hashes[new], texts_of[new]
+            first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+            last = np.append(first[1:], len(hashes))
+            group = texts_of[first]  # a window of one text has that text's number
+            for i in np.flatnonzero(last - first > 1):
+                members = texts_of[first[i] : last[i]].tobytes()
+                group[i] = len(texts) + groups.setdefault(members, len(groups))
+            self.tables.append((m, k, w, kept, seen, hashes[first], at[first], group))
+        members = [np.frombuffer(x, own.dtype) for x in groups]
+        self.members = np.concatenate([np.arange(len(texts)), *members])
+        sizes = [1] * len(texts) + [len(x) for x in members]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
 def hits(block: Block, words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hit flag of every word; pairs (text, distinct item) that share a window, distinct."""
     hit = np.zeros(len(words) + 1, np.int64)
-    pairs = []
+    groups = [np.empty((0, 2), np.int64)]
     owner = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-    for m, k, w, hashes, places, seen in block.tables:
+    for m, k, w, kept, seen, windows, places, group in block.tables:
         if len(words) < m:
             continue
         grams = whole_grams(words, firsts, k)
         at = winnow(grams, w)
         at = at[seen[grams[at] >> np.uint64(48)]]
-        lo = np.searchsorted(hashes, grams[at], "left")
-        n = np.searchsorted(hashes, grams[at], "right") - lo
-        total = np.concatenate([[0], np.cumsum(n)])
-        for start in range(0, int(total[-1]), PAIRS):
-            # The pairs of a common gram are the product of its places: taken in steps.
-            pair = np.arange(start, min(start + PAIRS, int(total[-1])))
-            of = np.searchsorted(total, pair, "right") - 1
-            p, q = at[of], places[lo[of] + pair - total[of]]
-            # Extend to both sides, never beyond the text, the item or a window's reach.
-            begin, end = p.copy(), p + k
-            for sign, reach in ((-1, begin), (1, end)):
-                going = np.arange(len(p))
-                for _ in range(m - k):
-                    a = reach[going] + (sign < 0) * -1
-                    b = a - p[going] + q[going]
-                    t, i = owner[p[going]], block.owner[q[going]]
-                    ok = (a >= firsts[t]) & (a < firsts[t + 1])
-                    ok &= (b >= block.firsts[i]) & (b < block.firsts[i + 1])
-                    ok[ok] = words[a[ok]] == block.words[b[ok]]
-                    going = going[ok]
-                    if not len(going):
-                        break
-                    reach[going] += sign
-            full = end - begin >= m
-            np.add.at(hit, begin[full], 1)
-            np.add.at(hit, end[full], -1)
-            pairs.append(np.unique(np.stack([owner[p[full]], block.owner[q[full]]], axis=1), axis=0))
-    found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), np.int64)
-    return np.cumsum(hit)[:-1] > 0, found
+        at = at[kept[np.minimum(np.searchsorted(kept, grams[at]), len(kept) - 1)] == grams[at]]
+        if not len(at):
+            continue
+        # Extend to both sides: the windows around a kept gram, each looked up once.
+        around = np.zeros(len(words) + 1, np.int64)
+        np.add.at(around, np.maximum(at - (m - k), 0), 1)
+        np.add.at(around, at + 1, -1)
+        at = np.flatnonzero(np.cumsum(around)[:-1] > 0)
+        whole = whole_grams(words, firsts, m) if m > k else grams
+        at = at[whole[at] != _NONE]
+        of = np.minimum(np.searchsorted(windows, whole[at]), len(windows) - 1)
+        same = windows[of] == whole[at]
+        at, of = at[same], of[same]
+        for i in range(m):
+            same = words[at + i] == block.words[places[of] + i]
+            if not same.all():
+                at, of = at[same], of[same]
+        np.add.at(hit, at, 1)
+        np.add.at(hit, at + m, -1)
+        groups.append(np.unique(np.stack([owner[at], group[of]], axis=1), axis=0))
+    found = np.unique(np.concatenate(groups), axis=0)
+    n = block.starts[found[:, 1] + 1] - block.starts[found[:, 1]]
+    total = np.concatenate([[0], np.cumsum(n)])
+    pairs = np.empty((0, 2), np.int64)
+    for start in range(0, int(total[-1]), PAIRS):
+        pair = np.arange(start, min(start + PAIRS, int(total[-1])))
+        of = np.searchsorted(total, pair, "right") - 1
+        item = block.members[block.starts[found[of, 1]] + pair - total[of]]
+        pairs = np.unique(np.concatenate([pairs, np.stack([found[of, 0], item], axis=1)]), axis=0)
+    return np.cumsum(hit)[:-1] > 0, pairs
 
 
 def _scan(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:

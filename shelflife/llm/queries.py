@@ -135,6 +135,72 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_decontamination": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text,
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+            FROM documents
+        ), items AS (
+            SELECT item_id, regexp_extract_all(translate(text,
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), item_windows AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+            FROM (SELECT *, least(len(w), 13) AS n FROM items WHERE len(w) > 0),
+                 unnest(range(1, len(w) - n + 2)) AS t(i)
+        ), lengths AS (
+            SELECT DISTINCT n FROM item_windows
+        ), doc_windows AS (
+            SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+            FROM docs, lengths, unnest(range(1, len(w) - n + 2)) AS t(i)
+        ), hits AS (
+            SELECT r, d.n, i, item_id FROM doc_windows d JOIN item_windows USING (win)
+            WHERE d.n = item_windows.n
+        ), hit_words AS (
+            SELECT r, count(DISTINCT p) AS n_hit
+            FROM (SELECT DISTINCT r, n, i FROM hits), unnest(range(i, i + n)) AS t(p) GROUP BY r
+        ), hit_items AS (
+            SELECT r, count(DISTINCT item_id) AS n_items,
+                   string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+            FROM hits GROUP BY r
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+        FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+    """,
+    "op3_suffix_array": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS h,
+                   CAST(strlen(coalesce(text, '')) AS BIGINT) AS n
+            FROM documents
+        ), strings AS (
+            SELECT r, doc_id, i, substring(h, 2 * i + 1, 100) AS s
+            FROM docs, unnest(range(0, n - 49)) AS t(i)
+        ), firsts AS (
+            SELECT s, min(doc_id) AS first FROM strings GROUP BY s HAVING count(*) > 1
+        ), starts AS (
+            SELECT r, i FROM strings JOIN firsts USING (s) WHERE first < doc_id
+        ), runs AS (
+            SELECT r, min(i) AS lo, max(i) + 50 AS hi
+            FROM (SELECT *, sum(gap) OVER (PARTITION BY r ORDER BY i) AS run
+                  FROM (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50
+                                       THEN 0 ELSE 1 END AS gap FROM starts))
+            GROUP BY r, run
+        ), edges AS (
+            SELECT r, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS before FROM runs
+        ), cut AS (
+            SELECT r, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last,
+                   string_agg(substring(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS head
+            FROM edges JOIN docs USING (r) GROUP BY r
+        )
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(head, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM docs LEFT JOIN cut USING (r)
+    """,
     "op4_warc": """
         WITH sized AS (
             SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n

@@ -106,3 +106,28 @@ def test_whole_table(spark):
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     got = QUERIES["op1_decontamination"](spark, sf_dir)
     assert sorted((tuple(r) for r in got.collect()), key=str) == by_hand(docs, items)
+
+
+def test_repeated_word_costs_no_product():
+    """16 KB of one word against 4 KB of it, and a sentence that thousands of items share."""
+    import time
+
+    import numpy as np
+
+    def hashed(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return decontaminate.word_hashes(data, np.array([0, len(data)], np.int64))
+
+    block = decontaminate.Block([(1, "a " * 2_048)], 13, 7)
+    words, firsts = hashed("a " * 8_192)
+    begin = time.perf_counter()
+    hit, pairs = decontaminate.hits(block, words, firsts)
+    assert time.perf_counter() - begin < 0.1
+    assert hit.all() and pairs.tolist() == [[0, 0]]
+    items = [(i, f"{A} then number{i} follows") for i in range(20_000)]
+    block = decontaminate.Block(items, 13, 7)
+    words, firsts = hashed(f"{A} . " * 200)
+    begin = time.perf_counter()
+    hit, pairs = decontaminate.hits(block, words, firsts)
+    assert time.perf_counter() - begin < 1
+    assert hit.all() and len(pairs) == 20_000
