@@ -22,18 +22,22 @@ execution can split the pages of a hot host.  Alignments are remembered by the s
 of a page; memory is one page and the remembered shapes of a task.
 
 Defined cases: null and empty pages have no text; a null or odd url is a host of its
-own; unclosed and crossed tags are closed as browsers do; white space includes
-no-break spaces; nodes deeper than ``DEPTH`` levels are not aligned but still read;
+own; unclosed and crossed tags are closed as browsers do, and a slash closes no element but
+those of drawings and formulas; an article without text counts as none; a tag that never ends is
+text; reading a page takes time in proportion to it, aligning it at most the product of differing
+siblings, in small arrays; white space includes no-break spaces; nodes deeper than ``DEPTH`` levels are not aligned but still read;
 repeated rows are reported each time; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from collections import OrderedDict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -45,7 +49,7 @@ from shelflife.llm.shared import run_folder, ship, stage
 MIN_PAGES = 5  # of a host, before its constant nodes count as template
 CONSTANT = 0.9  # of the pages
 DEPTH = 100
-SHAPES = 2_000  # remembered alignments of a task
+REMEMBERED = 1_000_000  # nodes of the alignments that a task remembers
 BROADCAST_BYTES = 16 * 1024 * 1024
 
 #: Elements that are never part of an article.
@@ -53,9 +57,9 @@ OTHER = frozenset("nav aside footer form button select menu dialog fieldset svg"
 #: Words of a class, id or role that say the same; outside an article also header.
 OTHER_NAMES = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment "
-    "comments complementary consent contentinfo cookie cookies disqus footer menu modal nav "
-    "navbar navigation newsletter notice notices popup promo promotion related search share "
-    "sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
+    "comments complementary consent contentinfo cookie cookies disqus footer gdpr menu modal nav "
+    "navbar navigation newsletter notice notices popup promo promotion related replies responses "
+    "reviews search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 HEADER_NAMES = frozenset("header masthead topbar".split())
 COMMENT_NAMES = frozenset("comment comments disqus".split())
@@ -148,7 +152,7 @@ def opened(page: Node) -> set[int]:
     article if that is larger than all the text that is left.
     """
     ids: set[int] = set()
-    closed: list[tuple[Node, tuple[Node, ...]]] = []
+    closed: list[tuple[Node, tuple]] = []  # with the boxes around it: (nearest, (next, ...))
     work = [(page, False)]
     while work:
         node, inside = work.pop()
@@ -166,11 +170,11 @@ def opened(page: Node) -> set[int]:
                 ids.add(id(kid))
                 work.append((kid, inside))
             else:
-                closed.append((kid, (kid,)))
+                closed.append((kid, (kid, None)))
     if not closed or regions(page, ids):
         return ids
     # Only what would be left out can hold an article now.
-    hidden: list[tuple[bool, int, tuple[Node, ...]]] = []
+    hidden: list[tuple[bool, int, tuple]] = []
     while closed:
         node, path = closed.pop()
         if is_comment(node):
@@ -180,12 +184,14 @@ def opened(page: Node) -> set[int]:
             continue
         for kid in node.kids:
             if isinstance(kid, Node) and kid.tag not in RAW:
-                closed.append((kid, (*path, kid) if is_other(kid, False) else path))
+                closed.append((kid, (kid, path) if is_other(kid, False) else path))
     if hidden:
         main, size, path = max(hidden, key=lambda found: found[:2])
         left = sum(len("".join(text.split())) for text in blocks(bodies(page), None, ids))
         if size > (0 if main else left):
-            ids.update(map(id, path))
+            while path:
+                ids.add(id(path[0]))
+                path = path[1]
     return ids
 
 
@@ -266,6 +272,7 @@ class Layout:
 
     def __init__(self, keys: list[str], parents: list[int], members: list[list[Node]] | None = None):
         self.keys, self.parents, self.members = keys, parents, members
+        self.spans: dict[int, tuple[int, int]] | None = None  # see text
         self.kids: list[list[int]] = [[] for _ in keys]
         for i, parent in enumerate(parents):
             if parent >= 0:
@@ -293,59 +300,144 @@ class Layout:
             work.extend((j, depth + 1) for j in range(len(keys) - 1, first - 1, -1))
         return cls(keys, parents, members)
 
-    def shape(self) -> tuple:
-        return tuple(self.keys), tuple(self.parents)
+    def shape(self) -> int:
+        """A hash of the tree: all that an alignment depends on."""
+        return tree_hash(self.keys, self.parents)
 
     def text(self, i: int) -> int:
         """Hash of the whole text of a group; 0 for no text."""
+        if self.spans is None:
+            self._read()
+        parts = (self.whole[lo:hi] for lo, hi in map(self.spans.__getitem__, map(id, self.members[i])))
+        text = " ".join("".join(parts).split())
+        return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 if text else 0
+
+    def _read(self) -> None:
+        """The page's text in one piece, and where in it each element lies."""
+        self.spans = {}
         parts: list[str] = []
-        work: list[Node | str] = list(reversed(self.members[i]))
+        size = 0
+        work: list[tuple[Node | str, int]] = [(self.members[0][0], -1)]
         while work:
-            item = work.pop()
+            item, start = work.pop()
             if isinstance(item, str):
                 parts.append(item)
-            elif item.tag not in RAW:
-                work.extend(reversed(item.kids))
-        text = " ".join("".join(parts).split())
-        return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 if text else 0
+                size += len(item)
+            elif start >= 0 or item.tag in RAW:
+                self.spans[id(item)] = max(start, 0), size if start >= 0 else 0
+            else:
+                work.append((item, size))
+                work.extend((kid, -1) for kid in reversed(item.kids))
+        self.whole = "".join(parts)
 
 
-def align(a: Layout, b: Layout) -> list[int]:
-    """For each group of ``b`` the group of ``a`` it is matched with, or -1.
+def tree_hash(keys: list[str], parents: list[int]) -> int:
+    names = "\0".join(keys).encode("utf-8", "surrogatepass")
+    return xxhash.xxh128_intdigest(names + b"\0\0" + np.array(parents, np.int32).tobytes())
 
-    Simple tree matching: the most pairs that keep parents, and siblings' order.
-    """
-    sizes: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
 
-    def match(i: int, j: int) -> int:
-        if a.keys[i] != b.keys[j]:
+class Shapes:
+    """Numbers of whole subtrees: equal ones have one number, and one matching."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[tuple[str, tuple[int, ...]], int] = {}
+        self.keys: list[str] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.sizes: list[int] = []
+        self.found: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+
+    def of(self, layout: Layout) -> list[int]:
+        out = [0] * len(layout.keys)
+        for i in range(len(out) - 1, -1, -1):
+            key = layout.keys[i], tuple(out[j] for j in layout.kids[i])
+            if key not in self.numbers:
+                self.numbers[key] = len(self.keys)
+                self.keys.append(key[0])
+                self.kids.append(key[1])
+                self.sizes.append(1 + sum(self.sizes[j] for j in key[1]))
+            out[i] = self.numbers[key]
+        return out
+
+    def match(self, a: int, b: int) -> int:
+        """Most pairs of two subtrees that keep parents and siblings' order."""
+        if a == b:
+            return self.sizes[a]
+        if self.keys[a] != self.keys[b]:
             return 0
-        if (i, j) not in sizes:
-            rows, cols = a.kids[i], b.kids[j]
-            best = [[0] * (len(cols) + 1) for _ in range(len(rows) + 1)]
-            for x, p in enumerate(rows):
-                for y, q in enumerate(cols):
-                    best[x + 1][y + 1] = max(best[x][y + 1], best[x + 1][y], best[x][y] + match(p, q))
-            pairs, x, y = [], len(rows), len(cols)
+        if (a, b) not in self.found:
+            size, pairs = self.siblings(self.kids[a], self.kids[b])
+            self.found[a, b] = 1 + size, pairs
+        return self.found[a, b][0]
+
+    def pairs(self, a: int, b: int) -> list[tuple[int, int]]:
+        """The kids that are paired in that matching, by their places."""
+        return [(x, x) for x in range(len(self.kids[a]))] if a == b else self.found[a, b][1]
+
+    def siblings(self, rows: tuple[int, ...], cols: tuple[int, ...]) -> tuple[int, list[tuple[int, int]]]:
+        """The heaviest pairs in order of two lists of subtrees.
+
+        Equal ones at the beginning and the end are pairs of some best matching.  Of the
+        table of the rest every so many rows are kept, and those between computed again.
+        """
+        n, m = len(rows), len(cols)
+        lo = hi = 0
+        while lo < min(n, m) and rows[lo] == cols[lo]:
+            lo += 1
+        while hi < min(n, m) - lo and rows[n - 1 - hi] == cols[m - 1 - hi]:
+            hi += 1
+        pairs = [(x, x) for x in range(lo)] + [(n - 1 - x, m - 1 - x) for x in range(hi)]
+        size = sum(self.sizes[rows[x]] for x, _ in pairs)
+        rows, cols = rows[lo : n - hi], cols[lo : m - hi]
+        if not rows or not cols:
+            return size, pairs
+        kinds, places = np.unique(np.array(cols), return_inverse=True)
+        gains = {a: np.array([self.match(a, int(b)) for b in kinds], np.int32) for a in set(rows)}
+
+        def next_row(best: np.ndarray, a: int) -> np.ndarray:
+            out = best.copy()
+            np.maximum(best[1:], best[:-1] + gains[a][places], out=out[1:])
+            return np.maximum.accumulate(out)
+
+        step = math.isqrt(len(rows)) + 1
+        best = np.zeros(len(cols) + 1, np.int32)
+        kept = []
+        for x, a in enumerate(rows):
+            if x % step == 0:
+                kept.append(best)
+            best = next_row(best, a)
+        size += int(best[-1])
+        y = len(cols)
+        for first in reversed(range(0, len(rows), step)):
+            table = [kept.pop()]
+            for a in rows[first : first + step]:
+                table.append(next_row(table[-1], a))
+            x = len(table) - 1
             while x and y:
-                if best[x][y] == best[x - 1][y]:
+                if table[x][y] == table[x - 1][y]:
                     x -= 1
-                elif best[x][y] == best[x][y - 1]:
+                elif table[x][y] == table[x][y - 1]:
                     y -= 1
                 else:
                     x, y = x - 1, y - 1
-                    pairs.append((rows[x], cols[y]))
-            sizes[i, j] = best[-1][-1] + 1, pairs
-        return sizes[i, j][0]
+                    pairs.append((lo + first + x, lo + y))
+        return size, pairs
 
+
+def align(a: Layout, b: Layout) -> list[int]:
+    """For each group of ``b`` the group of ``a`` it is matched with, or -1.
+
+    Simple tree matching: the most pairs that keep parents, and siblings' order.
+    """
+    shapes = Shapes()
+    of_a, of_b = shapes.of(a), shapes.of(b)
     out = [-1] * len(b.keys)
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * DEPTH))
-    if match(0, 0):
+    if shapes.match(of_a[0], of_b[0]):
         work = [(0, 0)]
         while work:
             i, j = work.pop()
             out[j] = i
-            work.extend(sizes[i, j][1])
+            work.extend((a.kids[i][x], b.kids[j][y]) for x, y in shapes.pairs(of_a[i], of_b[j]))
     return out
 
 
@@ -353,14 +445,16 @@ class Aligner:
     """Alignments with the reference pages, remembered by the shapes of both."""
 
     def __init__(self) -> None:
-        self.known: OrderedDict[tuple, list[int]] = OrderedDict()
+        self.known: OrderedDict[tuple[int, int], list[int]] = OrderedDict()
+        self.held = 0
 
     def __call__(self, keys: list[str], parents: list[int], page: Layout) -> list[int]:
-        key = tuple(keys), tuple(parents), page.shape()
+        key = tree_hash(keys, parents), page.shape()
         if key not in self.known:
-            self.known[key] = align(Layout(keys, parents), page)
-            if len(self.known) > SHAPES:
-                self.known.popitem(last=False)
+            self.known[key] = found = align(Layout(keys, parents), page)
+            self.held += len(found)
+            while self.held > REMEMBERED and len(self.known) > 1:
+                self.held -= len(self.known.popitem(last=False)[1])
         else:
             self.known.move_to_end(key)
         return self.known[key]
@@ -390,12 +484,13 @@ def article(page: Node, template: set[int]) -> str:
         varying = slots(body, template, ids)
         if slots(found, template, ids) < CONFIRMED * varying:
             found = []
+    kept = []
     if found:
         def skip(node: Node) -> bool:
             return id(node) in template and node.tag not in HEADINGS
 
         kept = blocks(found, skip, ids) or blocks(found, None, ids)
-    else:
+    if not kept:  # no article, or one without text
         kept = blocks(body, lambda node: id(node) in template, ids) or blocks(body, None, ids)
     return "\n".join(kept)
 

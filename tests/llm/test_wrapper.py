@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 from functools import cache
 
 import pytest
@@ -34,6 +35,12 @@ def text(page, template=()):
         ("<ARTICLE><P>A</P></ARTICLE>", "A"),
         ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a\nb\nc"),
         ("<article><p>1 < 2 and 3 > 2</p></article>", "1 < 2 and 3 > 2"),
+        ("<SCRIPT>x</SCRIPT><article><p>İstanbul text</p></article>", "İstanbul text"),
+        ("<script>'</scripts>'</script ><p>a", "a"), ("<article/><p>a</p><div/>tail", "a\ntail"),
+        ("<article></article><p>a</p>", "a"), ("<svg><path/><text>no</text></svg><p>a<svg/>b", "ab"),
+        ("<main><p>a</p><div class=reviews>no</div><div class=responses>no</div>"
+         "<div class='gdpr-bar'>no</div></main>", "a"),
+        ("a <b c <!-- no", "a <b c"), ("a <b 'c <i", "a <b 'c <i"), ("<b \">\" <b \">\" x", '" " x'),
         ("<style>p{}", ""), ("<script>", ""), ("<article>", ""), ("</p></div>x", "x"),
         ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
     ],
@@ -66,6 +73,37 @@ def test_containers_that_hold_the_article(page, want):
     assert text(page) == want
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 350_000, "<div>" * 200_000, "<p>x<div>y</div>" * 65_000, '<a ">" ' * 150_000,
+        "<p><table><td>" + "<div>" * 200_000, "İ<script>x</SCRIPT>" * 50_000,
+        "<div class='ad'>" * 60_000, "<!-" * 350_000, "<p>" * 350_000, "<li>x" * 200_000,
+    ],
+    ids=range(10),
+)
+def test_a_megabyte_of_hostile_markup(page):
+    begin = time.perf_counter()
+    tree = parse(page)
+    layout = wrapper.Layout.of(tree)
+    for i in range(len(layout.keys)):
+        layout.text(i)
+    wrapper.article(tree, set())
+    other = wrapper.Layout.of(parse(page[: len(page) // 2] + "<i>x</i>" + page))
+    assert all(i >= 0 for i in wrapper.align(other, layout))
+    assert time.perf_counter() - begin < 20
+
+
+def test_differing_siblings_in_little_memory():
+    rng = random.Random(3)
+    a, b = (wrapper.Layout(["r"] + rng.choices("ab", k=n), [-1] + [0] * n) for n in (6_000, 5_000))
+    begin = time.perf_counter()
+    found = wrapper.align(a, b)
+    assert time.perf_counter() - begin < 5
+    pairs = [i for i in found[1:] if i >= 0]
+    assert pairs == sorted(set(pairs)) and len(pairs) > 4_000
+
+
 def best(a, b):
     """Size of the largest matching, from the definition."""
 
