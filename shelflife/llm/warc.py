@@ -9,16 +9,18 @@ in any store that Spark writes to and a failed task leaves nothing behind.
 Reading takes archives as binary files and walks their records by Content-Length, so
 payloads may hold anything; memory is one compressed file and one record.  The
 assembly joins response, request and metadata records by record id into one nested
-row per capture.  Payloads need not take part in it: ``with_payload=False`` keeps
+row per capture, and a revisit with the response that its WARC-Refers-To names.  Payloads need not take part in it: ``with_payload=False`` keeps
 their digest and length, taken over the bytes that were read back.
 
-The stored page of each payload is found by a minimum per digest, summed before the
-shuffle and written out, so the rows of a common payload can be split at the join.
+The pages are written once with a number each, which is part of their record ids.  The
+stored page of each payload is found by a minimum per digest, summed before the shuffle and
+written out, so the rows of a common payload can be split at the join.
 
 Defined cases: a null html is an empty payload and a null url an empty target; control
 characters of a url are percent-encoded; rows that repeat a page id are captures of
 their own, told apart by a number in the record id, and equal payloads of one page are
-all responses; a null page id never is the stored page if there is another; a revisit
+all responses (revisits name one of them); a revisit whose response is not in the archives
+has no original; a null page id never is the stored page if there is another; a revisit
 has no payload of its own and keeps digest and length; of several requests or metadata
 records of one capture the one with the smallest id stays; an empty table gives an
 empty archive and no captures; other columns are not read.
@@ -67,33 +69,38 @@ def _record(kind: str | Column, fields: list[tuple[str, Column]], block: Column)
     return F.concat(head, F.lit(2 * _BREAK), block, F.lit(_BREAK))
 
 
-def stored_pages(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """``digest`` and ``first``: the page that is stored for each repeated payload."""
-    sized = pages.where(F.octet_length("html") >= min_bytes)
-    first = sized.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    return stage(first.where("n > 1").drop("n"), f"{folder}/stored")
+def stored_pages(rows: DataFrame, folder: str, min_bytes: int = MIN_REVISIT) -> DataFrame:
+    """``digest`` and ``first`` (``page``, ``n``): the row that is stored for each repeated payload."""
+    sized = rows.where(F.octet_length("html") >= min_bytes)
+    # Of rows that repeat the smallest page id any serves; a null id comes last.
+    order = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("page"), "n")
+    first = sized.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("m"))
+    return stage(first.where("m > 1").drop("m"), f"{folder}/stored")
 
 
 def _pages(pages: DataFrame) -> DataFrame:
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select("page_id", _clean(F.col("url")).alias("url"), html.alias("html"))
-    return rows.withColumn("digest", F.sha2("html", 256))
+    return rows.withColumn("digest", F.sha2("html", 256)).withColumn("n", F.monotonically_increasing_id())
 
 
 def write_archives(
     pages: DataFrame, path: str, folder: str, min_bytes: int = MIN_REVISIT
 ) -> None:
     """Three records per row of ``page_id``, ``url``, ``html``, as gzip files below path."""
-    rows = _pages(pages)
+    # Written first: the numbers of the rows are part of record ids that other records name.
+    rows = stage(_pages(pages), f"{folder}/pages")
     firsts = stored_pages(rows, folder, min_bytes)
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("html")).alias("b")).first()
     per_file = max(1, int(size["n"] * FILE_BYTES / max(size["b"] or 0, 1)))
-    rows = rows.join(firsts, "digest", "left").withColumn("n", F.monotonically_increasing_id())
-    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    page = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
+    rows = rows.join(firsts, "digest", "left")
+    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page"))
 
-    def urn(kind: str) -> Column:
-        return F.concat(F.lit(f"<urn:capture:{kind}:"), page, F.lit(":"), F.col("n"), F.lit(">"))
+    def page(number: str) -> Column:
+        return F.coalesce(F.col(number).cast("string"), F.lit("none"))
+
+    def urn(kind: str, number: str = "page_id", n: str = "n") -> Column:
+        return F.concat(F.lit(f"<urn:capture:{kind}:"), page(number), F.lit(":"), F.col(n), F.lit(">"))
 
     common = [("WARC-Date", F.lit(DATE)), ("WARC-Target-URI", F.col("url"))]
     beside = [("WARC-Concurrent-To", urn("response")), *common]
@@ -103,7 +110,7 @@ def write_archives(
         F.concat(F.lit("GET "), F.col("url"), F.lit(f" HTTP/1.1{2 * _BREAK}")),
     )
     body = F.when(revisit, F.lit("")).otherwise(F.col("html"))
-    stored = F.concat(F.lit("<urn:capture:response:"), F.col("first"), F.lit(">"))
+    stored = urn("response", "first.page", "first.n")
     response = _record(
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
         [
@@ -119,7 +126,7 @@ def write_archives(
     metadata = _record(
         "metadata",
         [("WARC-Record-ID", urn("metadata")), *beside],
-        F.concat(F.lit("page-id: "), page, F.lit(_BREAK)),
+        F.concat(F.lit("page-id: "), page("page_id"), F.lit(_BREAK)),
     )
     records = rows.select(F.explode(F.array(request, response, metadata)).alias("value"))
     writer = records.write.mode("errorifexists").option("lineSep", _BREAK)
@@ -195,17 +202,29 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
 def captures(records: DataFrame) -> DataFrame:
     """One nested row per response or revisit, with its request and metadata records.
 
-    The records are used three times, so they should come from a written table.
+    ``original`` is the response that a revisit refers to (``record_id``, ``target``,
+    ``digest``, and ``metadata``, its metadata block), null if the archives hold none.
+    The records are used several times, so they should come from a written table.
     """
     stored = records.where(F.col("type").isin("response", "revisit"))
     rows = stored.select("record_id", F.struct("*").alias("response"))
+    beside = {}
     for kind in ("request", "metadata"):
-        beside = records.where((F.col("type") == kind) & F.col("concurrent_to").isNotNull())
-        beside = beside.groupBy(F.col("concurrent_to").alias("record_id")).agg(
+        found = records.where((F.col("type") == kind) & F.col("concurrent_to").isNotNull())
+        beside[kind] = found.groupBy(F.col("concurrent_to").alias("record_id")).agg(
             F.min_by(F.struct("record_id", "target", "headers", "payload"), "record_id").alias(kind)
         )
-        rows = rows.join(beside, "record_id", "left")
-    return rows
+        rows = rows.join(beside[kind], "record_id", "left")
+    responses = records.where((F.col("type") == "response") & F.col("record_id").isNotNull())
+    responses = responses.groupBy("record_id").agg(F.min(F.struct("target", "digest")).alias("r"))
+    originals = responses.join(beside["metadata"], "record_id", "left").select(
+        F.col("record_id").alias("named"),
+        F.struct("record_id", "r.target", "r.digest", F.col("metadata.payload").alias("metadata")).alias("original"),
+    )
+    # Those that are no revisits name themselves, so they do not meet under one null.
+    refers = F.when(F.col("response.type") == "revisit", F.col("response.refers_to"))
+    rows = rows.withColumn("named", F.coalesce(refers, "record_id")).join(originals, "named", "left")
+    return rows.drop("named").withColumn("original", F.when(refers.isNotNull(), F.col("original")))
 
 
 def round_trip(pages: DataFrame, with_payload: bool = False) -> DataFrame:
@@ -219,12 +238,15 @@ def round_trip(pages: DataFrame, with_payload: bool = False) -> DataFrame:
 
 def digest(found: DataFrame) -> DataFrame:
     """One summary row per capture."""
-    page = F.regexp_extract(F.col("metadata.payload").cast("string"), r"^page-id: (-?\d+)", 1)
-    first = F.regexp_extract("response.refers_to", r"^<urn:capture:response:(-?\d+)>$", 1)
+
+    def page(block: str) -> Column:
+        number = F.regexp_extract(F.col(block).cast("string"), r"^page-id: (-?\d+)", 1)
+        return F.nullif(number, F.lit("")).cast("bigint")
+
     return found.select(
-        F.nullif(page, F.lit("")).cast("bigint").alias("page_id"),
+        page("metadata.payload").alias("page_id"),
         "response.payload_bytes",
         F.col("response.digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        F.nullif(first, F.lit("")).cast("bigint").alias("refers_to"),
+        page("original.metadata").alias("refers_to"),
     )

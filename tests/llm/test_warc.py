@@ -39,6 +39,8 @@ def test_round_trip(spark):
             assert hashlib.sha256(r.response.payload).hexdigest() == r.response.digest
         else:
             assert not r.response.payload
+            assert r.original.record_id == r.response.refers_to and r.original.digest == r.response.digest
+        assert (r.original is None) == (r.response.type == "response")
 
 
 def test_archive_files(spark, tmp_path):
@@ -59,3 +61,18 @@ def test_orphans_and_empty(spark, tmp_path):
     records = warc.read_records(spark, f"{tmp_path}/out")
     alone = warc.captures(records.where("type != 'metadata'")).collect()
     assert len(alone) == 2 and all(r.metadata is None and r.request for r in alone)
+
+
+def test_every_reference_is_a_record(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES * 3, "page_id bigint, url string, html string").repartition(4)
+    warc.write_archives(pages, f"{tmp_path}/out", f"{tmp_path}/scratch")
+    kinds, refers = {}, []
+    for path in glob.glob(f"{tmp_path}/out/*.gz"):
+        for headers, _ in warc.records_of(gzip.open(path)):
+            assert kinds.setdefault(headers["WARC-Record-ID"], headers["WARC-Type"]) == headers["WARC-Type"]
+            refers += [headers["WARC-Refers-To"]] if "WARC-Refers-To" in headers else []
+    assert len(kinds) == 9 * len(PAGES) and len(refers) == 6
+    assert {kinds[x] for x in refers} == {"response"}
+    records = warc.read_records(spark, f"{tmp_path}/out", with_payload=False)
+    lost = warc.captures(records.where("type != 'response'")).collect()
+    assert len(lost) == 6 and all(r.original is None and r.metadata for r in lost)
