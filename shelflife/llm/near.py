@@ -12,12 +12,17 @@ for more above.  Texts that agree on a run meet in its list.  In a list every te
 the positional bytes that it shares with the texts leading it, and is linked to the one
 with the most, if these are ``SHARED`` or more; below ``EQUAL`` it leads as well.  So a list
 of copies leaves one candidate per member, whatever its length.  Candidates are checked
-against the whole texts.
+against the whole texts.  Then the components of all links so far are looked up in the lists:
+where a list holds several, the members of different ones that share ``SHARED`` or more are
+checked as well, all of them.  So every pair that meets in a list ends in one component if it
+is similar enough, whoever leads.
 
 Lists are reduced to their leading texts within the tasks that made them, then shuffled by
 key and reduced again: a list with a third of all rows sends a few rows per task.  Only
 lists of more than one text carry signatures at all; their number is counted with partial
-sums, and hot keys are left to the adaptive join.  Texts are shuffled only for candidates.
+sums, and hot keys are left to the adaptive join.  Texts are shuffled only for candidates,
+and at the end only rows that go or whose id repeats: a broadcast bitmap of hashes leaves all
+others where they are.
 
 Defined cases: words and letters' case as in the SimHash operator; fewer words than a
 shingle make one shingle; texts without words are linked by their fingerprint alone;
@@ -47,6 +52,7 @@ from shelflife.llm.shared import (
     stage,
     text_parts,
 )
+from shelflife.operators.joins import some_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -125,12 +131,12 @@ class Leaders:
 
     Those that share too little with all before them lead, and so do those that are not
     nearly equal to one of them, as what is similar to them need not be to their leader.
-    Of the latter at most ``WEAK`` are held, the newest; a list of more is one whose texts
-    nearly all differ from its leaders by an edit, and they all stay linked to these.
+    Of the latter at most ``weak`` are held, the newest; a list of more is one whose texts
+    nearly all differ from its leaders by an edit.  :func:`across` compares what that leaves out.
     """
 
-    def __init__(self) -> None:
-        self.strict, self.weak = _Held(), _Held()
+    def __init__(self, weak: int = WEAK) -> None:
+        self.strict, self.weak, self.most = _Held(), _Held(), weak
 
     def meet(self, node: int, marks: np.ndarray) -> tuple[int | None, bool]:
         """The leading text that shares most with this one, if enough, and whether this one leads."""
@@ -139,7 +145,7 @@ class Leaders:
             self.strict.add(node, marks)
             return None, True
         if tally < EQUAL:
-            self.weak.add(node, marks, WEAK)
+            self.weak.add(node, marks, self.most)
         return leader, tally < EQUAL
 
 
@@ -168,9 +174,9 @@ class _Held:
         self.n += 1
 
 
-def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lead(batches: Iterator[pa.RecordBatch], weak: int = WEAK) -> Iterator[pa.RecordBatch]:
     """Rows (key, node, marks) in order of key, with ``leader``, if any, and whether they lead."""
-    leaders, last = Leaders(), None
+    leaders, last = Leaders(weak), None
     for batch in batches:
         keys = batch.column("key").to_numpy()
         nodes = batch.column("node").to_numpy()
@@ -178,7 +184,7 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int | None, bool]] = []
         for key, node, own in zip(keys.tolist(), nodes.tolist(), marks, strict=True):
             if key != last:
-                leaders, last = Leaders(), key
+                leaders, last = Leaders(weak), key
             found.append(leaders.meet(node, own))
         leader, leads = list(zip(*found, strict=True)) or ([], [])
         made = pa.array(leader, pa.int64()), pa.array(leads, pa.bool_())
@@ -208,34 +214,87 @@ def _check(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> I
         yield pa.RecordBatch.from_arrays(kept.columns, ["a", "b"])
 
 
-def candidates(texts: DataFrame, folder: str, size: int = SHINGLE) -> DataFrame:
-    """``a`` and ``b``: nodes whose signatures agree on a list and in enough bytes."""
+def listed(texts: DataFrame, folder: str, size: int = SHINGLE) -> DataFrame:
+    """``key``, ``node`` and ``marks``: the members of the lists of more than one text."""
     of_node = texts.schema["node"].dataType.simpleString()
     made = f"node {of_node}, keys array<bigint>, marks binary"
     signed = stage(texts.mapInArrow(lambda rows: _sign(rows, size), made), f"{folder}/signed")
     keyed = signed.select("node", F.explode("keys").alias("key"))
     lists = stage(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), f"{folder}/keys")
-    listed = keyed.join(lists, "key").groupBy("node").agg(F.collect_set("key").alias("met"))
-    rows = signed.select("node", "marks").join(listed, "node")
-    rows = stage(rows.select(F.explode("met").alias("key"), "node", "marks"), f"{folder}/listed")
+    met = keyed.join(lists, "key").groupBy("node").agg(F.collect_set("key").alias("met"))
+    rows = signed.select("node", "marks").join(met, "node")
+    return stage(rows.select(F.explode("met").alias("key"), "node", "marks"), f"{folder}/listed")
+
+
+def candidates(rows: DataFrame, folder: str, weak: int = WEAK) -> DataFrame:
+    """``a`` and ``b``: members of :func:`listed` lists and the leader they share most with."""
     kind = "key bigint, node bigint, marks binary, leader bigint, leads boolean"
     # Each list in an order of its own, so others lead.
     order = ["key", F.xxhash64("key", "node"), "node"]
-    first = stage(rows.sortWithinPartitions(*order).mapInArrow(_lead, kind), f"{folder}/within-tasks")
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _lead(batches, weak)
+
+    first = stage(rows.sortWithinPartitions(*order).mapInArrow(lead, kind), f"{folder}/within-tasks")
     rest = first.where("leads").select("key", "node", "marks")
-    second = rest.repartition("key").sortWithinPartitions(*order).mapInArrow(_lead, kind)
+    second = rest.repartition("key").sortWithinPartitions(*order).mapInArrow(lead, kind)
     pairs = first.unionByName(second).where("leader is not null and leader != node")
     return pairs.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
 
 
-def shingle_links(
-    texts: DataFrame, folder: str, size: int = SHINGLE, similarity: float = SIMILARITY
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = (
+            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, ORDERS)
+            for c in ("marks", "other")
+        )
+        keep = pa.array((a == b).sum(axis=1) >= SHARED)
+        kept = batch.select(["a", "b"]).filter(keep)
+        yield pa.RecordBatch.from_arrays(kept.columns, ["a", "b"])
+
+
+def across(rows: DataFrame, found: DataFrame, tried: DataFrame, folder: str) -> DataFrame:
+    """``a`` and ``b``: all members of one list that share enough but are not in one component yet.
+
+    ``found`` names the components of the links so far, ``tried`` holds the pairs that were checked for
+    them.  What a list's leaders left out, for whatever reason, is met here: members outside a list's
+    most frequent component are compared with all others of the list.  Lists of one component, as those
+    of copies are, drop out before signatures move.
+    """
+    members = rows.select("key", "node").distinct().join(found, "node", "left")
+    members = members.select("key", "node", F.coalesce("root", "node").alias("root"))
+    members = stage(members, f"{folder}/members")
+    sizes = members.groupBy("key", "root").agg(F.count("*").alias("n"))
+    mains = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("k"))
+    split = stage(mains.where("k > 1").select("key", "main"), f"{folder}/split")
+    met = members.join(split, "key")
+    # The distinct signatures of a member, which are several only where an id repeats.
+    signed = rows.join(split.select("key"), "key", "left_semi").distinct()
+    met = stage(signed.join(met, ["key", "node"]), f"{folder}/split-members")
+    odd = met.where("root != main").select("key", F.col("node").alias("a"), F.col("root").alias("own"), "marks")
+    all_of = met.select(
+        F.col("key").alias("in"), F.col("node").alias("b"), F.col("root").alias("theirs"), "main",
+        F.col("marks").alias("other"),
+    )
+    once = (F.col("theirs") == F.col("main")) | (F.col("own") < F.col("theirs"))
+    meet = (F.col("key") == F.col("in")) & (F.col("own") != F.col("theirs")) & once
+    pairs = odd.join(all_of, meet).select("a", "b", "marks", "other")
+    near = pairs.mapInArrow(_tallied, "a bigint, b bigint").distinct()
+    known = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return near.join(known, ["a", "b"], "left_anti")
+
+
+def checked(
+    pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """``a`` and ``b``: nodes of ``texts`` (``node`` bigint, ``text``) as similar as that by shingles."""
-    ship(texts.sparkSession)
-    pairs = stage(candidates(texts, folder, size), f"{folder}/candidates")
-    first = texts.select(F.col("node").alias("a"), "text")
-    other = texts.select(F.col("node").alias("b"), F.col("text").alias("other"))
+    """The pairs whose texts (``node`` bigint, ``text``) are as similar as that by shingles.
+
+    Pairs should be a stored table.  Of the texts only those of pairs move, but for a few others.
+    """
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    needed = some_of(texts, "node", nodes).where("_maybe")
+    first = needed.select(F.col("node").alias("a"), "text")
+    other = needed.select(F.col("node").alias("b"), F.col("text").alias("other"))
     both = pairs.join(first, "a").join(other, "b").select("a", "b", "text", "other")
     return both.mapInArrow(lambda rows: _check(rows, size, similarity), "a bigint, b bigint")
 
@@ -246,6 +305,7 @@ def near_groups(
     text_col: str = "text",
     size: int = SHINGLE,
     similarity: float = SIMILARITY,
+    weak: int = WEAK,
 ) -> DataFrame:
     """``id``, ``node`` (a hash of it) and ``component_id``, the smallest id reachable, of every id."""
     folder = run_folder(docs.sparkSession)
@@ -256,10 +316,18 @@ def near_groups(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.select(node.alias("node"), "text")
     # Rows that repeat an id are one node: their links are those of any of them.
-    links = stage(shingle_links(texts, f"{folder}/shingles", size, similarity), f"{folder}/links")
     by_print = prints.where(~F.col("id").eqNullSafe(F.col("component_id")))
     by_print = by_print.select(node.alias("a"), F.xxhash64("component_id").alias("b"))
-    found = simhash.components(links.unionByName(by_print), f"{folder}/components")
+    ship(docs.sparkSession)
+    rows = listed(texts, f"{folder}/shingles", size)
+    pairs = stage(candidates(rows, f"{folder}/shingles", weak), f"{folder}/candidates")
+    links = stage(checked(pairs, texts, size, similarity), f"{folder}/links").unionByName(by_print)
+    found = stage(simhash.components(links, f"{folder}/components"), f"{folder}/found")
+    more = stage(across(rows, found, pairs, f"{folder}/across"), f"{folder}/more")
+    if not more.isEmpty():
+        late = stage(checked(more, texts, size, similarity), f"{folder}/late")
+        if not late.isEmpty():
+            found = simhash.components(links.unionByName(late), f"{folder}/all-components")
     linked = stage(ids.join(found, "node").select("id", "node", "root"), f"{folder}/linked")
     names = linked.groupBy("root").agg(F.min("id").alias("component_id"))
     linked = linked.join(names, "root").select("node", "component_id")
@@ -271,9 +339,16 @@ def near_deduped(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: float
 ) -> DataFrame:
     """One document of each group stays, the one with the smallest id, columns as before."""
-    groups = near_groups(docs, id_col, text_col, **options)
-    stay = groups.where(F.col("id").eqNullSafe(F.col("component_id"))).select("id")
-    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("i"))
-    met = rows.join(stay, F.col("i").eqNullSafe(F.col("id")))
-    once = Window.partitionBy("id").orderBy(F.xxhash64("doc"))
-    return met.withColumn("n", F.row_number().over(once)).where("n = 1").select("doc.*")
+    folder = run_folder(docs.sparkSession)
+    groups = near_groups(docs, id_col, text_col, **options).select("id", "component_id")
+    groups = stage(groups, f"{folder}/groups")
+    gone = groups.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("i"), F.xxhash64(id_col).alias("node"))
+    again = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+    # Rows to drop and ids that repeat are few: only they, and a few others, move.
+    held = stage(gone.select(F.xxhash64("id").alias("node")).unionByName(again), f"{folder}/held")
+    rows = some_of(rows, "node", held)
+    stay = rows.where("_maybe").join(gone, F.col("i").eqNullSafe(F.col("id")), "left_anti")
+    once = Window.partitionBy("i").orderBy(F.xxhash64("doc"))
+    stay = stay.withColumn("n", F.row_number().over(once)).where("n = 1")
+    return rows.where("not _maybe").select("doc.*").unionByName(stay.select("doc.*"))

@@ -3,7 +3,12 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 from shelflife.llm import near
+from shelflife.llm.shared import text_parts
+from shelflife.operators.joins import some_of
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -97,3 +102,40 @@ def test_recall_against_all_pairs(spark):
     met = sum(got[a] == got[b] for a, b in pairs)
     print(f"{met} of {len(pairs)} pairs at 0.8 or more met")
     assert len(pairs) >= 50 and met >= 0.97 * len(pairs)
+
+
+def meeting_pairs(texts):
+    """All pairs at 0.8 that agree on a list and share enough bytes, by brute force."""
+    keys, marks = [], []
+    for _, _, data, bounds in text_parts(pa.array(texts)):
+        k, m = near.signatures(*near.shingles(data, bounds, near.SHINGLE))
+        keys.append(k)
+        marks.append(m)
+    keys, marks = np.concatenate(keys), np.concatenate(marks)
+    sets = [shingles(t) for t in texts]
+    for i in range(len(texts)):
+        met = (keys[i + 1 :] == keys[i]).any(axis=1) & ((marks[i + 1 :] == marks[i]).sum(axis=1) >= near.SHARED)
+        yield from ((i, i + 1 + j) for j in np.flatnonzero(met).tolist() if jaccard(sets[i], sets[i + 1 + j]) >= 0.8)
+
+
+def test_every_pair_that_meets_in_a_list_is_linked(spark):
+    """Texts about as similar to their leaders as to each other; no weak leader may be lost for good."""
+    rng = random.Random(3)
+    texts = []
+    for _ in range(25):
+        base = [f"w{rng.randrange(9_000)}" for _ in range(120)]
+        texts += [" ".join(edited(rng, base, rng.randrange(1, 4))) for _ in range(40)]
+    pairs = list(meeting_pairs(texts))
+    assert len(pairs) > 500
+    for weak in (near.WEAK, 2):
+        got = groups(near.near_groups(frame(spark, list(enumerate(texts))).repartition(6), weak=weak))
+        assert [p for p in pairs if got[p[0]] != got[p[1]]] == []
+
+
+def test_bitmap_marks_all_wanted(spark):
+    rows = spark.range(-2_000, 2_000).selectExpr("xxhash64(id) as node", "id")
+    wanted = rows.where("id % 7 = 0").select("node")
+    got = {r.id: r._maybe for r in some_of(rows, "node", wanted).collect()}
+    assert len(got) == 4_000 and all(got[i] for i in got if i % 7 == 0)
+    assert sum(got.values()) < 600
+    assert not any(r._maybe for r in some_of(rows, "node", wanted.limit(0)).collect())
