@@ -193,3 +193,27 @@ def test_untyped_rows_with_a_system_name_go(spark):
     names = ["a/Files", "a/Tables", "a/TableMaintenance", "a/Files/Tables/b", "a/Filesx", "plain"]
     rows = report(spark, [("w", name, None, str(n), None, None) for n, name in enumerate(names)])
     assert set(rows) == {"a/Filesx", "plain"}
+
+
+def test_only_rows_with_a_dated_name_are_shuffled_for_it(spark):
+    rows = items(spark, [("w" if i % 2 else None, f"n{i}", "T", f"i{i % 7}", None, None) for i in range(400)])
+    seen = [("x", f"N{i}", "W", "2026-03-01") for i in range(40)] + [("x", "n1", None, "2026-03-02"), ("x", None, "w", None)]
+    names = readiness.latest_by_name(activity(spark, seen))
+    keyed = readiness.keyed(rows)
+    plain = keyed.join(names, ["ws_key", "name_key"], "left")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = readiness.with_name_dates(keyed, names)
+        assert "ws_key" not in found.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, plain.select(*found.columns).collect()))
+        assert found.where("act_date_by_name IS NOT NULL").count() == 20
+        moved = readiness.with_name_dates(keyed, names).where("item_name = 'n300'")
+        text = moved._jdf.queryExecution().executedPlan().toString()
+        assert text.count("SortMergeJoin") == 1 and "Union" in text  # the other branch has no such join
+        whole = readiness.assess(rows, activity(spark, seen), policy(spark, T=10), AS_OF)
+        text = whole._jdf.queryExecution().executedPlan().toString()
+        # Joined by id and deduplicated over two shuffles, so that a hot id can be split for the join.
+        kinds = {line.split("hashpartitioning(")[1].count("#") for line in text.splitlines() if "hashpartitioning(item_id" in line}
+        assert {2, 3} <= kinds
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
