@@ -245,3 +245,20 @@ def test_readiness_without_activity_table(spark, tmp_path):
     store.overwrite(empty(spark, INVENTORY), "inventory")
     daily.update_readiness(store, AS_OF)
     assert store.load("readiness").count() == 0
+
+
+def test_export_files_are_short(spark, tmp_path, monkeypatch):
+    """A file is read by one task, as its values may hold line breaks."""
+    monkeypatch.setattr("shelflife.sources.store.EXPORT_ROWS", 4)
+    rows = spark.range(30).select(
+        *[
+            (F.concat(F.lit("a\nb"), F.col("id").cast("string")) if f.name == "item_name" else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in READINESS.fields
+        ]
+    )
+    folder = str(tmp_path / "export")
+    export_csv(rows.coalesce(1), folder)
+    back = read_export(spark, folder, READINESS)
+    sizes = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 30 and max(sizes) <= 4
+    assert {r.item_name for r in back.collect()} == {f"a\nb{i}" for i in range(30)}
