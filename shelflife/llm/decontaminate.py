@@ -12,7 +12,8 @@ their product.
 
 The items are a stated query set: they are read in blocks of bounded bytes, each
 block's table of kept hashes is broadcast, and the documents pass block after block
-without a shuffle.  Memory is one block and one part of texts per task.
+without a shuffle.  Memory is one block, one batch of documents and one part of texts per
+task; a text goes to the Python workers once, inside its document.
 
 Defined cases: null or wordless text has no words and no hits; null or wordless items
 never hit; the words of an item without id hit, but it is not among the items found; equal items count
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from shelflife.llm.shared import (
     gram_hashes,
     lists,
+    place_of,
     ship,
     sliding,
     span_hashes,
@@ -176,11 +178,12 @@ def hits(block: Block, words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarra
     return np.cumsum(hit)[:-1] > 0, pairs
 
 
-def _scan(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """Adds the hits of one block to those of the blocks before."""
+def _scan(batches: Iterator[pa.RecordBatch], shared, held: int | None) -> Iterator[pa.RecordBatch]:
+    """Adds the hits of one block to those of the blocks before; the text is field ``held`` of ``doc``, if any."""
     block = shared.value
     for batch in batches:
-        for lo, hi, data, bounds in text_parts(batch.column("text")):
+        texts = batch.column("text") if held is None else batch.column("doc").field(held)
+        for lo, hi, data, bounds in text_parts(texts):
             words, firsts = word_hashes(data, bounds)
             hit, found = hits(block, words, firsts)
             before = batch.slice(lo, hi - lo)
@@ -208,16 +211,9 @@ def _scan(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]
             if len(before.column("items").flatten()):
                 both = zip(before.column("items").to_pylist(), items.to_pylist(), strict=True)
                 items = pa.array([a + b for a, b in both], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    before.column("doc"),
-                    before.column("text"),
-                    pa.array(np.diff(firsts), pa.int64()),
-                    lists(flat, n_spans),
-                    items,
-                ],
-                ["doc", "text", "n_words", "spans", "items"],
-            )
+            made = {"n_words": pa.array(np.diff(firsts), pa.int64()), "spans": lists(flat, n_spans), "items": items}
+            kept = [name for name in batch.schema.names if name not in made]
+            yield pa.RecordBatch.from_arrays([*map(before.column, kept), *made.values()], [*kept, *made])
 
 
 def _blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int | None, str]]]:
@@ -249,9 +245,10 @@ def contamination(
     """
     spark = docs.sparkSession
     ship(spark)
+    held = place_of(docs, text_col)
     rows = docs.select(
         F.struct("*").alias("doc"),
-        F.col(text_col).cast("string").alias("text"),
+        *([F.col(text_col).cast("string").alias("text")] if held is None else []),
         F.lit(0).cast("bigint").alias("n_words"),
         F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"),
         F.expr("cast(array() as array<bigint>)").alias("items"),
@@ -259,7 +256,7 @@ def contamination(
     schema = rows.schema
     for block in _blocks(items, item_col, item_text_col):
         shared = spark.sparkContext.broadcast(Block(block, window, gram))
-        rows = rows.mapInArrow(lambda it, shared=shared: _scan(it, shared), schema)
+        rows = rows.mapInArrow(lambda it, shared=shared: _scan(it, shared, held), schema)
     n_hit = F.aggregate(
         "spans", F.lit(0).cast("bigint"), lambda n, s: n + (s["end"] - s["start"]).cast("bigint")
     )

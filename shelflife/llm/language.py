@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelflife.llm.shared import by_hash, lowered, ship, span_hashes, spans_of, text_parts
+from shelflife.llm.shared import by_hash, lowered, place_of, ship, span_hashes, spans_of, text_parts
 
 SAMPLE_DOCS = 600  # per language
 WINDOW_WORDS = 96
@@ -338,11 +338,13 @@ def span_key(value: int) -> int:
     return int(value) * 0x9E3779B97F4A7C15 % (1 << 64)
 
 
-def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], shared, held: int | None) -> Iterator[pa.RecordBatch]:
+    """The text is field ``held`` of ``doc``, if any."""
     langs, weights, lexicon, lexicon_weight, transitions = shared.value
     names = np.array(langs, object)
     for batch in batches:
-        for lo, hi, data, bounds in text_parts(batch.column("text"), PART):
+        texts = batch.column("text") if held is None else batch.column("doc").field(held)
+        for lo, hi, data, bounds in text_parts(texts, PART):
             words = words_of(data, bounds)
             evidence = scores(words, weights, lexicon, lexicon_weight)
             sums = posteriors(evidence, words.firsts, transitions)
@@ -375,10 +377,11 @@ def predict(
     spark = docs.sparkSession
     ship(spark)
     text = F.col(text_col).cast("string")
+    held = place_of(docs, text_col) if with_doc else None
     rows = docs.select(
         (F.struct("*") if with_doc else F.struct(F.lit(0).alias("none"))).alias("doc"),
         F.col(id_col).alias("id"),
-        text.alias("text"),
+        *([text.alias("text")] if held is None else []),
         F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"),
     )
     if model is None:
@@ -387,7 +390,7 @@ def predict(
         parts = (model.langs, model.weights, model.lexicon, model.lexicon_weight, model.transitions)
         shared = spark.sparkContext.broadcast(parts)
         schema = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).drop("text").schema
-        made = rows.mapInArrow(lambda batches: _predict(batches, shared), schema)
+        made = rows.mapInArrow(lambda batches: _predict(batches, shared, held), schema)
     return made.select(
         *(["doc"] if with_doc else []),
         "id",

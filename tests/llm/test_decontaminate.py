@@ -131,3 +131,34 @@ def test_repeated_word_costs_no_product():
     hit, pairs = decontaminate.hits(block, words, firsts)
     assert time.perf_counter() - begin < 1
     assert hit.all() and len(pairs) == 20_000
+
+
+def test_texts_go_to_python_once_and_in_small_batches(spark, monkeypatch):
+    docs, items = frames(spark, DOCS, ITEMS)
+    kind, sent = type(docs), []
+    real = kind.mapInArrow
+
+    def noted(rows, *args, **options):
+        sent.append(rows.columns)
+        return real(rows, *args, **options)
+
+    monkeypatch.setattr(kind, "mapInArrow", noted)
+    got = digests(decontaminate.contamination(docs, items))
+    assert sent == [["doc", "n_words", "spans", "items"]] and got == by_hand(DOCS, ITEMS)
+    # By another spelling the text is a column of its own, and the result is the same.
+    assert digests(decontaminate.contamination(docs, items, text_col="TEXT")) == got
+    assert sent[1] == ["doc", "text", "n_words", "spans", "items"]
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 8 << 20
+
+
+def test_results_do_not_depend_on_batches(spark):
+    docs, items = frames(spark, DOCS, ITEMS)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "64b")
+    try:
+        assert digests(decontaminate.contamination(docs, items)) == by_hand(DOCS, ITEMS)
+        assert spark.conf.get(key) == "64b"
+        assert decontaminate.decontaminated(docs, items).columns == docs.columns
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
