@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -11,6 +12,7 @@ from shelflife.operators import changes, readiness
 from shelflife.plans import by_change
 from shelflife.schemas import READINESS
 from shelflife.sources import versions
+from shelflife.sources.store import stage
 
 ITEMS = "workspace_name string, item_name string, item_type string, item_id string, created_date date, last_modified_date date"
 SEEN = "artifact_id string, artifact_name string, workspace_name string, last_modified_date date"
@@ -161,3 +163,57 @@ def test_differences_and_digests(spark):
     parts = frame.select(*changes.digest("x", "y")).collect()
     assert len({(r.x, r.s) for r in parts}) == 4
     assert frame.select(changes.row_key("x", "y").alias("k")).distinct().count() == 4
+
+
+def test_items_are_shuffled_once_to_be_judged(spark):
+    items = [("w", f"n{i % 9}", "T", f"i{i % 4}", None, date(2026, 2, 20)) for i in range(40)]
+    inventory, seen, rules = frames(spark, items, [("i3", "n3", "w", date(2026, 2, 25))], [("T", 20), ("T", 30)])
+    keyed = by_change.keyed_items(inventory).select("*", *changes.digest(*by_change.READ))
+    judged = by_change.judge(keyed, seen, rules, START)
+    text = judged._jdf.queryExecution().executedPlan().toString()
+    assert text.count("hashpartitioning(item_id") == 1 and "hashpartitioning(row_key" not in text
+    whole = keyed.groupBy("row_key").agg(*[put(c).alias(c) for c, put in changes.DIGEST.items()])
+    parts = [*whole.columns]
+    assert sorted(map(tuple, judged.select(parts).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_a_large_share_is_seen_before_all_digests_are_compared(spark, tmp_path, monkeypatch):
+    items = [("w", f"n{i}", "T", f"i{i}", None, date(2026, 2, 20)) for i in range(30)]
+    kept = kept_in(spark, tmp_path)
+    by_change.update(kept, *frames(spark, items, [], [("T", 20)]), START)
+    compared = []
+    difference = by_change.difference
+
+    def noted(old, new, keys, measures):
+        compared.append(keys)
+        return difference(old, new, keys, measures)
+
+    monkeypatch.setattr(by_change, "difference", noted)
+    given = frames(spark, items, [], [("T", 3)])  # reaches every item
+    assert rows(by_change.update(kept, *given, START)) == rows(readiness.readiness(*given, START))
+    assert compared and ["row_key"] not in compared
+
+
+def test_a_whole_state_leaves_out_the_key_that_is_made(spark, tmp_path):
+    items = [("w", f"n{i}", None if i % 2 else "T", f"i{i}" if i % 3 else None, None, None) for i in range(20)]
+    kept = kept_in(spark, tmp_path)
+    by_change.update(kept, *frames(spark, items, [], []), START)
+    assert "row_key" not in spark.read.parquet(f"{tmp_path}/state/version=1").columns
+    keys = by_change.keyed_items(frames(spark, items, [], [])[0]).select("row_key")
+    assert sorted(kept.load("state").select("row_key").collect()) == sorted(keys.collect())
+
+
+def shuffle_files(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for top in held for _, _, names in os.walk(top.getPath()) for f in names if f.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_them(spark, tmp_path):
+    before = shuffle_files(spark)
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert stage(rows, str(tmp_path / "staged")).count() == 7
+    until = time.time() + 20
+    while time.time() < until and (left := {f for f in shuffle_files(spark) - before if f.endswith(".data")}) and len(left) > 1:
+        time.sleep(0.2)
+    assert len(left) <= 1  # that of the count above
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
