@@ -153,3 +153,37 @@ def test_scoring_by_timestamp(spark):
     ]
     custom = scoring.score(rows, AS_OF, {"Notebook": 3}, 7).collect()
     assert [r["retention_period_days"] for r in custom] == [3, 3, 7, 7, 3]
+
+
+PLAIN_TIMES = [
+    "2024-01-05T10:11:12", "2024-01-05 10:11:12Z", "2024-01-05T10:11:12.123+02:00", "2024-01-05T10:11:12.1234567",
+    "2024-01-05T10:11:12.5-0330", "Tue, 05 Mar 2024 23:59:59 GMT", "xyz, 01 jan 1999 00:00:00 GMT",
+]
+ODD_TIMES = [
+    "2024-01-05T10:11:123", "2024-01-05 10:11:123", "2024-01-05T10:11:12,5", "2024-01-05T10:11:12.", "20240105T101112Z",
+    "2024-13-05T10:11:12", "2024-02-30 10:11:12", "2024-01-05T24:00:00", "2024-01-05T10:11:12.12345678+5", "2024-W03-2T10:00:00",
+    "2024-01-05", "2024-1-5T1:2:3", "0000-01-05T10:11:12", "Tue, 5 Mar 24 23:59 GMT", "5 March 2024 1:02:03", "Tue, 31 Feb 2024 10:00:00 GMT",
+    "Tue, 05 Foo 2024 10:00:00 GMT", "Tue, 05 Mar 2024 25:00:00 GMT", "Tue, 05 Mar 2024 10:00:00 GMT\n", "2024-01-05T10:11:12\n",
+    "12345 Mar 2024 10:00", "", " 2024-01-05T10:11:12", "n/a", None, "Tue, 05 anf 2024 10:00:00 GMT",
+]
+
+
+def test_common_times_are_read_without_the_general_expressions(spark, monkeypatch):
+    """The same values as the general expressions give, and those are not needed for common spellings."""
+    frame = spark.createDataFrame([(t,) for t in [*PLAIN_TIMES, *ODD_TIMES]], "t string")
+
+    def parsed():
+        column = F.col("t")
+        kinds = {"any": times.parse_any(column), "iso": times.parse_iso(column), "mail": times.parse_mail_date(column)}
+        return frame.select("t", *[c.cast("string").alias(name) for name, c in kinds.items()]).collect()
+
+    found = parsed()
+    assert all(r["any"] is not None for r in found if r.t in PLAIN_TIMES)
+    with monkeypatch.context() as general:
+        general.setattr(times, "_PLAIN_ISO", "^(no such text)$")
+        general.setattr(times, "_PLAIN_MAIL", "^(no such text)$")
+        assert parsed() == found
+    assert all(r["any"] == (r.iso if r.iso is not None else r.mail) for r in found)
+    monkeypatch.setattr(times, "_parse_any_iso", lambda text: F.lit(None).cast("timestamp_ntz"))
+    monkeypatch.setattr(times, "_MAIL_DATE", "^(no)( such)( text)()$")
+    assert [r["any"] for r in parsed()[: len(PLAIN_TIMES)]] == [r["any"] for r in found[: len(PLAIN_TIMES)]]
